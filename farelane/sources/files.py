@@ -96,7 +96,8 @@ def write_dataset(
         out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # the default text format stops at milliseconds
+        writer = writer.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if table:
