@@ -26,6 +26,8 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, **extra: s
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
+        # small test tables: keep every core busy after a shuffle
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     )
     for name, value in {**SETTINGS, **extra}.items():
         builder = builder.config(name, value)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.functions import (
@@ -199,13 +199,15 @@ def inventory(spark, folder):
 @query
 def monthly_feed(spark, folder):
     root = new_folder(spark, "feed")
-    source = raw(spark, folder).withColumn("month", F.month("pickup_datetime"))
-    names = feed.FEED_MONTHS
-    train, val = ev.split_by_key(source, F.col("key").cast("long") * 7919 % 100)
-    for split, rows in (("train", train), ("val", val)):
-        for i, month in enumerate(names, start=1):
-            files.write_dataset(rows.filter(F.col("month") == i).drop("month"), f"{root}/{split}_{month}", fmt="csv")
-    loads = [feed.ingest_month(spark, root, month) for month in names]
+    split = F.when(F.col("key").cast("long") * 7919 % 100 >= 30, "train").otherwise("val")
+    labelled = raw(spark, folder).withColumns({"split": split, "month": F.month("pickup_datetime")})
+    parted = stage(labelled, "months", ["split", "month"])
+    loads = []
+    for i, month in enumerate(feed.FEED_MONTHS, start=1):
+        for part in cat.SPLITS:
+            rows = parted.filter((F.col("split") == part) & (F.col("month") == i)).drop("split", "month")
+            files.write_dataset(rows, f"{root}/{part}_{month}", fmt="csv")
+        loads.append(feed.ingest_month(spark, root, month))
     return reduce(DataFrame.unionByName, loads)
 
 
