@@ -5,7 +5,8 @@ from .geo import cell_id, cell_number, cell_text, geohash, haversine_km, manhatt
 from .times import (
     clock_date,
     clock_hour,
-    local_clock_micros,
+    clock_seconds,
+    local_clock,
     cyclic_hour,
     format_utc,
     local_status,
@@ -17,7 +18,7 @@ from .times import (
 )
 
 __all__ = [
-    "cell_id", "clock_date", "clock_hour", "local_clock_micros", "cell_number", "cell_text", "cyclic_hour", "fixed_min_max", "format_utc", "geohash",
+    "cell_id", "clock_date", "clock_hour", "clock_seconds", "local_clock", "cell_number", "cell_text", "cyclic_hour", "fixed_min_max", "format_utc", "geohash",
     "haversine_km", "local_status", "local_to_utc", "manhattan_km", "one_hot", "parse_utc",
     "to_instant", "to_local", "weekday",
 ]

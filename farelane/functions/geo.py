@@ -22,7 +22,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
         F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(half_dlon) * F.sin(half_dlon)
     )
     # rounding can push the chord of antipodes past 1, where asin is NaN
-    return F.asin(F.sqrt(F.least(chord, F.lit(1.0)))) * (2 * EARTH_RADIUS_KM)
+    capped = F.when(chord > 1, F.lit(1.0)).otherwise(chord)
+    return F.asin(F.sqrt(capped)) * (2 * EARTH_RADIUS_KM)
 
 
 def manhattan_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -44,12 +45,12 @@ def _grid_index(x: Column, half_range: int, bits: int) -> Column:
     edge belongs to the lower cell. ``x + half_range`` may round down onto an edge
     for tiny ``x``; the last comparison puts such a point back.
     """
-    width = 2.0 * half_range / 2**bits
-    top = 2**bits - 1
-    q = F.greatest(F.ceil((x + F.lit(float(half_range))) / F.lit(width)) - 1, F.lit(0))
-    above = x > (q + 1) * F.lit(width) - F.lit(float(half_range))
+    width = F.lit(2.0 * half_range / 2**bits)
+    half = F.lit(float(half_range))
+    edge = F.ceil((x + half) / width)
+    q = F.when(x > edge.cast("double") * width - half, edge).otherwise(edge - 1)
     # least and greatest skip nulls, so a null coordinate needs the guard
-    return F.when(x.isNotNull(), F.least(q + above.cast("long"), F.lit(top)).cast("long"))
+    return F.when(x.isNotNull(), F.greatest(F.least(q, F.lit(2**bits - 1)), F.lit(0).cast("long")))
 
 
 def cell_id(lat: Column, lon: Column, precision: int = 5) -> Column:
@@ -89,7 +90,7 @@ def cell_text(cell: Column, precision: int = 5) -> Column:
         lon_part = F.shiftright(cell, lat_total + lon_left).bitwiseAND(F.lit(2**lon_count - 1))
         lat_part = F.shiftright(cell, lat_left).bitwiseAND(F.lit(2**lat_count - 1))
         spot = (lon_part * F.lit(2**lat_count) + lat_part).cast("int")
-        letters.append(F.lit(list(_letters(lon_count)))[spot])
+        letters.append(F.get(F.lit(list(_letters(lon_count))), spot))
     return F.concat(*letters)
 
 

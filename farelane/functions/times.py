@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from farelane.schema import CITY_ZONE
 
 _EPOCH = "1970-01-01 00:00:00"
-HOUR = 3_600_000_000
+HOUR = 3600
 DAY = 24 * HOUR
 
 
@@ -33,59 +33,62 @@ def parse_utc(text: Column, strict: bool = False) -> Column:
     instant = F.when(has_offset, bare).otherwise(F.concat(bare, F.lit("Z"))).try_cast("timestamp")
     # date-only text takes no zone letter
     day = F.when(bare.rlike(r"^\d{4}-\d\d?-\d\d?$"), bare).try_cast("timestamp_ntz")
-    moment = _clock(F.unix_micros(instant))
+    moment = F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
     parsed = F.coalesce(day, moment)
     if strict:
         return F.when(text.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d UTC$"), parsed)
     return parsed
 
 
-def clock_micros(ts: Column) -> Column:
-    """A wall clock as microseconds since 1970-01-01 00:00 on the same clock."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), ts)
+def clock_seconds(ts: Column) -> Column:
+    """A wall clock as whole seconds since 1970-01-01 00:00 on the same clock.
 
-
-def _clock(micros: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", micros, _epoch())
+    Built from the fields, because a difference or a cast of ``timestamp_ntz`` values
+    goes through the session time zone.
+    """
+    days = F.unix_date(ts.cast("date")).cast("long")
+    return days * DAY + F.hour(ts) * HOUR + F.minute(ts) * 60 + F.second(ts)
 
 
-def _shift_to_local(micros: Column, tz: str) -> Column:
+def _shift_to_local(seconds: Column, tz: str) -> Column:
     # convert_timezone looks the zone up by name for every row and is several times slower
-    return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(micros), tz))
+    return F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(seconds), tz))
 
 
-def _shift_to_utc(micros: Column, tz: str) -> Column:
-    return F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(micros), tz))
+def _shift_to_utc(seconds: Column, tz: str) -> Column:
+    return F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(seconds), tz))
 
 
-def local_clock_micros(utc: Column, tz: str = CITY_ZONE) -> Column:
-    """:func:`to_local` as a number, for :func:`clock_date` and :func:`clock_hour`."""
-    return _shift_to_local(clock_micros(utc), tz)
+def local_clock(utc: Column, tz: str = CITY_ZONE) -> Column:
+    """:func:`to_local` as whole seconds, for :func:`clock_date` and :func:`clock_hour`."""
+    return _shift_to_local(clock_seconds(utc), tz)
 
 
-def clock_date(micros: Column) -> Column:
-    """Date of a clock given in microseconds."""
-    return F.date_from_unix_date(((micros - F.pmod(micros, F.lit(DAY))) / F.lit(DAY)).cast("int"))
+def clock_date(seconds: Column) -> Column:
+    """Date of a clock given in seconds."""
+    return F.date_from_unix_date(((seconds - F.pmod(seconds, F.lit(DAY))) / F.lit(DAY)).cast("int"))
 
 
-def clock_hour(micros: Column) -> Column:
-    """Hour 0..23 of a clock given in microseconds."""
-    return (F.pmod(micros, F.lit(DAY)) / F.lit(HOUR)).cast("int")
+def clock_hour(seconds: Column) -> Column:
+    """Hour 0..23 of a clock given in seconds."""
+    return (F.pmod(seconds, F.lit(DAY)) / F.lit(HOUR)).cast("int")
 
 
 def to_local(utc: Column, tz: str = CITY_ZONE) -> Column:
     """UTC wall clock to local wall clock, following daylight saving time."""
-    return _clock(local_clock_micros(utc, tz))
+    here = clock_seconds(utc)
+    return F.timestamp_add("SECOND", _shift_to_local(here, tz) - here, utc)
 
 
 def local_to_utc(local: Column, tz: str = CITY_ZONE) -> Column:
     """Local wall clock to UTC; see :func:`local_status` for which values are safe."""
-    return _clock(_shift_to_utc(clock_micros(local), tz))
+    here = clock_seconds(local)
+    return F.timestamp_add("SECOND", _shift_to_utc(here, tz) - here, local)
 
 
 def local_status(local: Column, tz: str = CITY_ZONE) -> Column:
     """``ok``, ``ambiguous`` (the hour repeats), ``nonexistent`` (skipped) or ``missing``."""
-    here = clock_micros(local)
+    here = clock_seconds(local)
     utc = _shift_to_utc(here, tz)
     twice = (_shift_to_local(utc + HOUR, tz) == here) | (_shift_to_local(utc - HOUR, tz) == here)
     return (
@@ -114,4 +117,6 @@ def cyclic_hour(hour: Column) -> tuple[Column, Column]:
 
 def to_instant(utc: Column) -> Column:
     """UTC wall clock to ``timestamp``, the only type a watermark accepts."""
-    return F.timestamp_micros(clock_micros(utc))
+    seconds = clock_seconds(utc)
+    fraction = utc - F.timestamp_add("SECOND", seconds, _epoch())
+    return F.timestamp_seconds(seconds) + fraction

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelane.functions import cell_id, cell_number, cell_text, fixed_min_max, haversine_km, manhattan_km, one_hot
-from farelane.functions import clock_date, clock_hour, cyclic_hour, local_clock_micros, weekday
+from farelane.functions import clock_date, clock_hour, cyclic_hour, local_clock, weekday
 from farelane.schema import (
     CELLS_20,
     CITY_ZONE,
@@ -53,7 +53,7 @@ def with_cells(df: DataFrame, precision: int = 5) -> DataFrame:
 
 def time_features(df: DataFrame, tz: str = CITY_ZONE) -> DataFrame:
     """Add ``hour_sin, hour_cos, dow, month, year`` of the local pickup time."""
-    local = df.withColumn("__local", local_clock_micros(F.col("pickup_datetime"), tz))
+    local = df.withColumn("__local", local_clock(F.col("pickup_datetime"), tz))
     parts = local.withColumns({"__hour": clock_hour(F.col("__local")), "__day": clock_date(F.col("__local"))})
     hour_sin, hour_cos = cyclic_hour(F.col("__hour"))
     return parts.withColumns(
@@ -86,14 +86,14 @@ def trip_features(
         *keep,
         *([F.col("fare_amount").alias("__fare")] if target else []),
         F.col("passenger_count").alias("__passengers"),
-        local_clock_micros(F.col("pickup_datetime")).alias("__local"),
+        local_clock(F.col("pickup_datetime")).alias("__local"),
         haversine_km(lat1, lon1, lat2, lon2).alias("__haversine"),
         manhattan_km(lat1, lon1, lat2, lon2).alias("__manhattan"),
         cell_id(lat1, lon1, precision).alias("__pickup"),
         cell_id(lat2, lon2, precision).alias("__dropoff"),
     )
     # -1 stands for "no category": columns that cannot be null keep the generated code
-    # of the wide projection short enough for the JVM to compile it
+    # of the wide projection short
     day = clock_date(F.col("__local"))
     base = base.withColumns(
         {

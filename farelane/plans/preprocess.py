@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -21,6 +22,14 @@ class Processed:
     cleaned_rows: int
 
 
+def observed_rows(seen: Observation) -> int | None:
+    """The observed row count; None when Spark found the result empty and dropped the node."""
+    try:
+        return seen.get.get("rows")
+    except Py4JJavaError:
+        return None
+
+
 def preprocess(
     source: DataFrame,
     dest: str,
@@ -43,4 +52,5 @@ def preprocess(
         write_dataset(out, dest, "overwrite", fmt, table, ("year", "month"))
     else:
         write_dataset(trip_features(clean, target=True), dest, "overwrite", fmt, table)
-    return Processed(raw.get["rows"], kept.get["rows"])
+    rows, cleaned = observed_rows(raw), observed_rows(kept)
+    return Processed(source.count() if rows is None else rows, cleaned or 0)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelane.functions import clock_seconds
+
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -77,7 +79,8 @@ def requests_from_events(events: DataFrame) -> DataFrame:
     minutes = (i * 7) % 300
     spring = F.timestamp_add("MINUTE", minutes, F.lit("2013-03-10 00:00:00").cast("timestamp_ntz"))
     autumn = F.timestamp_add("MINUTE", minutes, F.lit("2013-11-03 00:00:00").cast("timestamp_ntz"))
-    when = F.when(i % 3 == 0, spring).when(i % 3 == 1, autumn).otherwise(F.date_trunc("second", "pickup_datetime").cast("timestamp_ntz"))
+    whole = F.timestamp_add("SECOND", clock_seconds(F.col("pickup_datetime")), F.lit("1970-01-01").cast("timestamp_ntz"))
+    when = F.when(i % 3 == 0, spring).when(i % 3 == 1, autumn).otherwise(whole)
     return trips.select(
         "request_id",
         when.alias("pickup_datetime"),

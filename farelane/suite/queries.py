@@ -23,7 +23,7 @@ from farelane.functions import (
     format_utc,
     geohash,
     haversine_km,
-    local_clock_micros,
+    local_clock,
     manhattan_km,
     one_hot,
     parse_utc,
@@ -324,7 +324,7 @@ def local_time(spark, folder):
 
 @query
 def local_parts(spark, folder):
-    clock = raw(spark, folder).select("key", local_clock_micros(F.col("pickup_datetime")).alias("c"))
+    clock = raw(spark, folder).select("key", local_clock(F.col("pickup_datetime")).alias("c"))
     day = clock_date(F.col("c"))
     return clock.select(
         "key",
@@ -337,7 +337,7 @@ def local_parts(spark, folder):
 
 @query
 def cyclic_hours(spark, folder):
-    hour = clock_hour(local_clock_micros(F.col("pickup_datetime")))
+    hour = clock_hour(local_clock(F.col("pickup_datetime")))
     sin, cos = cyclic_hour(hour)
     return raw(spark, folder).select("key", r(sin).alias("hour_sin"), r(cos).alias("hour_cos"))
 
