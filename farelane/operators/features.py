@@ -8,7 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelane.functions import cell_id, cell_number, cell_text, fixed_min_max, haversine_km, manhattan_km, one_hot
+from farelane.functions import cell_id, cell_number, cell_text, haversine_km, manhattan_km
 from farelane.functions import clock_date, clock_hour, cyclic_hour, local_clock, weekday
 from farelane.schema import (
     CELLS_20,
@@ -105,22 +105,30 @@ def trip_features(
         }
     )
     hour_sin, hour_cos = cyclic_hour(clock_hour(F.col("__local")))
+    base = base.withColumns({"__sin": hour_sin, "__cos": hour_cos})
+
+    def scaled(name: str, bounds: tuple[int, int]) -> str:
+        return f"({name} - {bounds[0]}D) / {bounds[1] - bounds[0]}D"
+
+    def flags(name: str, values) -> list[str]:
+        return [f"{name} = {v}" for v in values]
+
+    # SQL text: one call to the driver's JVM for all columns instead of several per column
     ids = [cell_number(c) for c in cells]
     columns = [
-        fixed_min_max(F.col("__passengers"), *PASSENGER_RANGE),
-        *one_hot(F.col("__dow"), WEEKDAYS),
-        *one_hot(F.col("__month"), MONTHS),
-        fixed_min_max(F.col("__year"), *YEAR_RANGE),
-        hour_sin,
-        hour_cos,
-        fixed_min_max(F.col("__haversine"), *DISTANCE_RANGE),
-        fixed_min_max(F.col("__manhattan"), *DISTANCE_RANGE),
-        *one_hot(F.col("__pickup"), ids),
-        *one_hot(F.col("__dropoff"), ids),
+        scaled("__passengers", PASSENGER_RANGE),
+        *flags("__dow", WEEKDAYS),
+        *flags("__month", MONTHS),
+        scaled("__year", YEAR_RANGE),
+        "__sin",
+        "__cos",
+        scaled("__haversine", DISTANCE_RANGE),
+        scaled("__manhattan", DISTANCE_RANGE),
+        *flags("__pickup", ids),
+        *flags("__dropoff", ids),
+        *(["__fare"] if target else []),
     ]
-    if target:
-        columns.append(F.col("__fare"))
-    return base.select(*keep, *(c.cast("float").alias(f"_{i}") for i, c in enumerate(columns)))
+    return base.selectExpr(*(f"`{k}`" for k in keep), *(f"CAST({c} AS FLOAT) AS _{i}" for i, c in enumerate(columns)))
 
 
 def with_target(df: DataFrame, cells: Sequence[str] = CELLS_20) -> DataFrame:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.operators.clean import drop_duplicate_trips, filter_trips
+from farelane.operators.clean import clean_trips
 from farelane.operators.features import trip_features
 from farelane.schema import DEFAULT_LIMITS, Limits
-from farelane.sources.files import write_dataset
+from farelane.sources.files import read_processed, write_dataset
 
 
 @dataclass(frozen=True)
@@ -22,14 +21,6 @@ class Processed:
     cleaned_rows: int
 
 
-def observed_rows(seen: Observation) -> int | None:
-    """The observed row count; None when Spark found the result empty and dropped the node."""
-    try:
-        return seen.get.get("rows")
-    except Py4JJavaError:
-        return None
-
-
 def preprocess(
     source: DataFrame,
     dest: str,
@@ -38,19 +29,20 @@ def preprocess(
     fmt: str = "parquet",
     table: bool = False,
 ) -> Processed:
-    """Clean ``source``, build the 66 columns and write them, in one job.
+    """Clean ``source``, build the 66 columns and write them: one job, one shuffle.
 
-    Both row counts are observed on the way. ``by_month`` partitions the output by
-    the ``year`` and ``month`` of the pickup, so later readers can prune.
+    The row counts come from two column-free scans, of the source before and of the
+    output after; on parquet those read footers only. An observation inside the job
+    would keep the filters from reaching the scan. ``by_month`` partitions the output
+    by the ``year`` and ``month`` of the pickup, so later readers can prune.
     """
-    raw, kept = Observation(), Observation()
-    watched = source.observe(raw, F.count(F.lit(1)).alias("rows"))
-    clean = drop_duplicate_trips(filter_trips(watched, limits)).observe(kept, F.count(F.lit(1)).alias("rows"))
+    clean = clean_trips(source, limits)
     if by_month:
         dated = clean.withColumns({"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")})
         out = trip_features(dated, keep=("year", "month"), target=True)
         write_dataset(out, dest, "overwrite", fmt, table, ("year", "month"))
     else:
         write_dataset(trip_features(clean, target=True), dest, "overwrite", fmt, table)
-    rows, cleaned = observed_rows(raw), observed_rows(kept)
-    return Processed(source.count() if rows is None else rows, cleaned or 0)
+    spark = source.sparkSession
+    written = spark.table(dest) if table else read_processed(spark, dest, fmt)
+    return Processed(source.count(), written.count())

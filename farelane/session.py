@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # recording the Python line of every column expression slows plan building down
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # the JVM does not compile larger methods; a wider plan then runs operator by operator
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # dedup state of a long delay does not fit the default in-memory store

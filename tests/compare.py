@@ -57,7 +57,13 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "sf0.01"
     names = sys.argv[2:] or list(entry.queries())
-    spark, con = local_session(8), connect(f"{DATA}/{sf}")
+    if os.environ.get("PLAIN"):  # a session without the library's settings
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    else:
+        spark = local_session(8)
+    con = connect(f"{DATA}/{sf}")
     bad = 0
     for name in names:
         started = time.time()
