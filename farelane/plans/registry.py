@@ -41,8 +41,10 @@ def log_run(
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:  # nothing was written yet
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # nothing was written yet
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:

@@ -63,3 +63,20 @@ def test_stream_fit_does_each_batch_once(spark, folder, tmp_path):
         fit.stream_fit(feed, valid, root, str(tmp_path / state), spec=DenseSpec(learning_rate=0.01)).awaitTermination()
     assert registry.read_runs(spark, root).count() == 1
     assert registry.model_version(registry.read_models(spark, root), "stream") == 1
+
+
+def test_periodic_refresh_picks_up_new_files(spark, folder, tmp_path):
+    source, path = tmp_path / "in", str(tmp_path / "out")
+    raw = raw_trips(spark, folder)
+    raw.write.parquet(str(source))
+    stream = filter_trips(spark.readStream.schema(RAW).parquet(str(source)))
+    query = streams.start(stream, path, f"{path}-state", every="1 second")
+    try:
+        query.processAllAvailable()
+        once = spark.read.parquet(path).count()
+        raw.write.mode("append").parquet(str(source))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert once == filter_trips(raw).count()
+    assert spark.read.parquet(path).count() == 2 * once
