@@ -147,8 +147,8 @@ def histogram(source: str, x: str, bins: int, lo: str | None = None, hi: str | N
     return f"""bounds AS ({bounds}),
 binned AS (SELECT least(CAST(floor(({x} - lo) / ((hi - lo) / {bins})) AS INTEGER), {bins - 1}) AS bin, count(*) AS n
            FROM {source}, bounds WHERE {x} BETWEEN lo AND hi GROUP BY 1)
-SELECT CAST(b.bin AS INTEGER) AS bin, {rnd(f"lo + b.bin * ((hi - lo) / {bins})")} AS bin_lo,
-       {rnd(f"lo + (b.bin + 1) * ((hi - lo) / {bins})")} AS bin_hi, coalesce(n, 0) AS n
+SELECT CAST(b.bin AS INTEGER) AS bin, {rnd(f"lo + b.bin * ((hi - lo) / {bins})", 9)} AS bin_lo,
+       {rnd(f"lo + (b.bin + 1) * ((hi - lo) / {bins})", 9)} AS bin_hi, coalesce(n, 0) AS n
 FROM (SELECT unnest(range({bins})) AS bin) b CROSS JOIN bounds LEFT JOIN binned ON binned.bin = b.bin"""
 
 
@@ -418,8 +418,8 @@ ORACLE: dict[str, str] = {
         bounds AS (SELECT min(x) AS lo, max(x) AS hi FROM pairs),
         binned AS (SELECT series, least(CAST(floor((x - lo) / ((hi - lo) / 200)) AS INTEGER), 199) AS bin, count(*) AS n
           FROM pairs, bounds GROUP BY ALL)
-        SELECT s.series, CAST(b.bin AS INTEGER) AS bin, {rnd("lo + b.bin * ((hi - lo) / 200)")} AS bin_lo,
-          {rnd("lo + (b.bin + 1) * ((hi - lo) / 200)")} AS bin_hi, coalesce(n, 0) AS n
+        SELECT s.series, CAST(b.bin AS INTEGER) AS bin, {rnd("lo + b.bin * ((hi - lo) / 200)", 9)} AS bin_lo,
+          {rnd("lo + (b.bin + 1) * ((hi - lo) / 200)", 9)} AS bin_hi, coalesce(n, 0) AS n
         FROM (SELECT unnest(range(200)) AS bin) b CROSS JOIN (SELECT unnest(['prediction', 'truth']) AS series) s CROSS JOIN bounds
           LEFT JOIN binned ON binned.bin = b.bin AND binned.series = s.series""",
     "residual_histogram": f"WITH {SCORED}, {histogram('scored', 'residual', 40, '-20e0', '20e0')}",

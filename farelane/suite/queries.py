@@ -516,7 +516,8 @@ def time_range(spark, folder):
 
 
 def _rounded_bins(hist: DataFrame) -> DataFrame:
-    return hist.withColumns({"bin_lo": r("bin_lo"), "bin_hi": r("bin_hi")})
+    # edges are short decimals divided by the bin count: six places would hit exact halves
+    return hist.withColumns({"bin_lo": r("bin_lo", 9), "bin_hi": r("bin_hi", 9)})
 
 
 @query
