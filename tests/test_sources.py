@@ -128,3 +128,10 @@ def test_staged_copy_is_removed(spark):
     kept = stage(df, "t")
     assert kept.inputFiles()[0].startswith("file:") and shared_dir(spark) in kept.inputFiles()[0]
     remove_folder(spark, kept.inputFiles()[0].rsplit("/", 1)[0])
+
+
+def test_feed_of_an_empty_month(spark, trips, tmp_path):
+    root = str(tmp_path)
+    for split in ("train", "val"):
+        files.write_dataset(trips({}).filter("fare_amount < 0"), f"{root}/{split}_mar", fmt="csv")
+    assert [r.rows for r in feed.ingest_month(spark, root, "mar").collect()] == [0, 0]
