@@ -1,12 +1,11 @@
 """Tables written to the shared folder to cut lineage or feed a later step.
 
-The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-session that names none gets a temporary folder of its own.
+The folder is the one the cluster names in ``spark.checkpoint.dir``; where it names
+none, a folder below the warehouse, which all executors share as well.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -22,9 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="farelane-"))
+    spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared")
     return spark.sparkContext.getCheckpointDir()
 
 
