@@ -28,3 +28,39 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS B
   sha256(coalesce(i.names, '')) AS items_sha256, coalesce(c.n, 0) > 0 AND 20 * coalesce(c.n, 0) >= len(w.w) AS contaminated
 FROM words w LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
+
+ORACLE["op3_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON e.vec_id = least.x LEFT JOIN degree ON e.vec_id = degree.x
+"""
+
+ORACLE["op4_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS least FROM pages)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to
+FROM p
+"""
+
+ORACLE["op8_rollups"] = r"""
+WITH texts AS (
+  SELECT source, lang, coalesce(CASE WHEN lang = 'de' THEN regexp_replace(text, '[0-9]', '', 'g') ELSE text END, '') AS t,
+    CASE WHEN source = 'src3' THEN 0 ELSE 1 END AS alive
+  FROM documents),
+counts AS (
+  SELECT source, lang, 'words.1' AS tokenizer, alive, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS n FROM texts
+  UNION ALL
+  SELECT source, lang, 'words.2', alive, len(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) FROM texts)
+SELECT source, lang, tokenizer, CAST(sum(alive) AS BIGINT) AS docs, CAST(sum(alive * n) AS BIGINT) AS tokens
+FROM counts GROUP BY source, lang, tokenizer
+"""

@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, contamination, secrets, simhash, toxicity
+from farelane.llm import bpe, contamination, rollups, secrets, simhash, toxicity, vectors, warc
+from farelane.staging import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+#: Two versions of a word tokenizer: runs without white space; runs of letters, digits and non-ASCII characters.
+WORDS_1, WORDS_2 = r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 #: Folds of the toxicity labels: remainder 0 is held out.
 FOLDS = 5
 
@@ -39,6 +43,19 @@ def op2_decontaminate(spark, folder):
     return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op3_vectors(spark, folder):
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op4_warc(spark, folder):
+    pages = table(spark, folder, "pages").withColumn("time", F.timestamp_seconds("page_id").cast("timestamp_ntz"))
+    return warc.archive_pages(pages, new_folder(spark, "warc")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query
 def op6_secrets(spark, folder):
     return secrets.scan_secrets(table(spark, folder, "documents"))
@@ -51,6 +68,23 @@ def op7_toxicity(spark, folder):
     return toxicity.score(docs, model).select("doc_id", (fold() == 0).alias("held_out"), "score", "predicted")
 
 
+@query
+def op8_rollups(spark, folder):
+    """Totals after four batches: all documents come, one source is withdrawn, the German texts are counted
+    anew without digits, and the withdrawal is delivered a second time."""
+    docs = table(spark, folder, "documents")
+    count = lambda text: {"words.1": F.regexp_count(text, F.lit(WORDS_1)), "words.2": F.regexp_count(text, F.lit(WORDS_2))}
+    german, gone = docs.filter("lang = 'de' AND source <> 'src3'"), docs.filter("source = 'src3'")
+    path = new_folder(spark, "rollups")
+    rollups.commit(rollups.changes("insert", rollups.counted(docs, count(F.col("text")))), path, 1)
+    withdrawn = rollups.changes("delete", old=rollups.counted(gone, count(F.col("text"))))
+    rollups.commit(withdrawn, path, 2)
+    fewer = rollups.counted(german, count(F.regexp_replace("text", "[0-9]", "")))
+    rollups.commit(rollups.changes("revise", fewer, rollups.counted(german, count(F.col("text")))), path, 3)
+    rollups.commit(withdrawn, path, 2)
+    return rollups.totals(spark, path)
+
+
 @query
 def op9_bpe(spark, folder):
     return bpe.tokenize(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
