@@ -64,3 +64,39 @@ counts AS (
 SELECT source, lang, tokenizer, CAST(sum(alive) AS BIGINT) AS docs, CAST(sum(alive * n) AS BIGINT) AS tokens
 FROM counts GROUP BY source, lang, tokenizer
 """
+
+ORACLE["op5_recompression"] = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS seq
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM words WHERE len(w) >= 50)),
+first AS (SELECT seq, min(doc_id) AS least FROM places GROUP BY seq HAVING min(doc_id) < max(doc_id)),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS k FROM places JOIN first USING (seq) WHERE least < doc_id),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM words),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t, count(*) AS n FROM each ANTI JOIN covered USING (doc_id, k) GROUP BY doc_id)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE["op10_bwt"] = """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+places AS (
+  SELECT doc_id, s, md5(substr(h, 2 * s + 1, 100)) AS seq
+  FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS s FROM bytes WHERE n >= 50)),
+first AS (SELECT seq, min(doc_id) AS least FROM places GROUP BY seq HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT doc_id, s FROM places JOIN first USING (seq) WHERE least < doc_id),
+starts AS (SELECT doc_id, s, coalesce(s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) > 50, true) AS new FROM hit),
+runs AS (SELECT doc_id, s, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY s) AS r FROM starts),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 50 AS b FROM runs GROUP BY doc_id, r),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT g.doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS h
+  FROM gaps g JOIN bytes USING (doc_id) GROUP BY g.doc_id),
+lost AS (SELECT doc_id, sum(b - a) AS n, count(*) AS k FROM spans GROUP BY doc_id)
+SELECT bytes.doc_id, CAST(bytes.n AS BIGINT) AS n_bytes, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed, CAST(coalesce(k, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept.h, bytes.h))) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, contamination, rollups, secrets, simhash, toxicity, vectors, warc
+from farelane.llm import bpe, bwt, contamination, recompression, rollups, secrets, simhash, toxicity, vectors, warc
 from farelane.staging import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,11 @@ def op4_warc(spark, folder):
     )
 
 
+@query
+def op5_recompression(spark, folder):
+    return recompression.dedup_words(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op6_secrets(spark, folder):
     return secrets.scan_secrets(table(spark, folder, "documents"))
@@ -88,3 +93,8 @@ def op8_rollups(spark, folder):
 @query
 def op9_bpe(spark, folder):
     return bpe.tokenize(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op10_bwt(spark, folder):
+    return bwt.dedup_bytes(table(spark, folder, "documents"))
