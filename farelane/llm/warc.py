@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -78,13 +79,13 @@ def records(pages: DataFrame, id_col: str, url_col: str, text_col: str, time_col
 def write_archives(
     pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", text_col: str = "html", time_col: str = "time", most: int = RECORDS,
 ) -> None:
-    """WARC 1.1 files below ``path``, each sorted by URL key and time.
+    """Gzipped WARC 1.1 files below ``path``, each sorted by URL key and time.
 
     The record text is written as it is; the two line ends that close a record are
     the separator of the text writer, so any file system that Spark writes to will do.
     """
     made = records(pages, id_col, url_col, text_col, time_col).sortWithinPartitions("key", "time", "id")
-    made.select("record").write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", most).text(path)
+    made.select("record").write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", most).text(path, compression="gzip")
 
 
 def parse(data: bytes) -> Iterator[tuple]:
@@ -121,14 +122,14 @@ def _number(urn: str | None) -> int | None:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The index of all records below ``path``, in the order of each archive."""
+    """The index of all records below ``path``, in the order of each archive; offsets are those of the unpacked archive."""
     schema = "run string, record_offset long, record_length long, record_type string, id long, url string, date string, payload_bytes long, payload_digest string, refers_to long"
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for file, content in zip(batch.column(0), batch.column(1)):
-                rows = [(file.as_py(), a, n, kind, _number(i), url, date, size, digest, _number(to)) for a, n, kind, i, url, date, size, digest, to in parse(content.as_py())]
+                rows = [(file.as_py(), a, n, kind, _number(i), url, date, size, digest, _number(to)) for a, n, kind, i, url, date, size, digest, to in parse(gzip.decompress(content.as_py()))]
                 kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
                 yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names=names)
 
