@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from farelane.llm.repeats import WINDOW, earlier_passages, least_in_windows, mixed, ranges
 
-#: Bytes of an anchor; every window has the least hash of its anchors, the leftmost of equals.
-ANCHOR = 16
+#: Bytes of an anchor, 16 to 24; every window has the least hash of its anchors, the leftmost of equals.
+ANCHOR = 24
 _PLACE = np.uint64((1 << 20) - 1)
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -41,26 +41,35 @@ class RunIndex:
         self.match = self._compare(self.heads, self.before)
 
     def _sorted(self, longest: int) -> np.ndarray:
-        """Suffix order by doubling: seven letters first, which fit into one word."""
+        """Suffix order: as many letters as fit into a word first, then three times (or twice) as many each round."""
         n = len(self.text)
-        padded = np.concatenate((self.text, np.zeros(7, np.int16))).astype(np.uint64)
+        present = np.zeros(257, np.int64)
+        present[self.text] = 1
+        present[0] = 0
+        letter = (np.cumsum(present) * present).astype(np.uint64)[self.text]
+        width = max(1, int(letter.max()).bit_length())
+        step = 63 // width
+        padded = np.concatenate((letter, np.zeros(step, np.uint64)))
         key = np.zeros(n, np.uint64)
-        for k in range(7):
-            key = key << np.uint64(9) | np.where(self.left >= k, padded[k : k + n], 0).astype(np.uint64)
-        step = 7
+        for k in range(step):
+            key = key << np.uint64(width) | np.where(self.left >= k, padded[k : k + n], 0).astype(np.uint64)
         while True:
             last = step > longest
             order = np.argsort(key, kind="stable" if last else None)
             if last:
                 return order
             sorted_ = key[order]
-            rank = np.empty(n, np.uint64)
-            rank[order] = np.concatenate((np.zeros(1, np.int64), np.cumsum(sorted_[1:] != sorted_[:-1]))).astype(np.uint64) + np.uint64(1)
-            after = np.zeros(n, np.uint64)
-            after[: max(n - step, 0)] = rank[step:]
-            after[self.left < step] = 0
-            key = rank << np.uint64(32) | after
-            step *= 2
+            new = np.concatenate(([False], sorted_[1:] != sorted_[:-1]))
+            if new[1:].all():
+                return order
+            rank = np.empty(n + 2 * step, np.uint64)
+            rank[n:] = 0
+            rank[order] = np.cumsum(new).astype(np.uint64) + np.uint64(1)
+            times, bits = (3, 21) if n < 1 << 21 else (2, 32)
+            key = rank[:n].copy()
+            for k in range(1, times):
+                key = key << np.uint64(bits) | np.where(self.left >= k * step, rank[k * step : k * step + n], 0).astype(np.uint64)
+            step *= times
 
     def _compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Lengths of the matches between suffixes; none with a place below 0."""
@@ -102,7 +111,7 @@ class Bytes:
         eight = np.lib.stride_tricks.as_strided(units, (len(units) - 7, 8), (1, 1))
         word = np.ascontiguousarray(eight).view(np.uint64).ravel()
         n = len(units) - ANCHOR + 1
-        key = mixed(mixed(word[:n]) + word[8 : 8 + n])
+        key = mixed(mixed(mixed(word[:n]) + word[8 : 8 + n]) + word[ANCHOR - 8 : ANCHOR - 8 + n])
         chosen = least_in_windows((key & ~_PLACE) | np.arange(n, dtype=np.uint64), WINDOW - ANCHOR + 1)
         place = (chosen & _PLACE).astype(np.int64)
         return place, key[place]

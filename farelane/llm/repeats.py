@@ -23,6 +23,8 @@ from farelane.llm.shared import pack, partitions
 WINDOW = 50
 #: Documents that hold an anchor; beyond, its windows are dealt one by one by their own content.
 HOT = 1000
+#: Entries of passages that are compared together; a group of passages is not cut.
+INDEX = 1 << 18
 #: Units of text that are looked at together.
 SEGMENT = 1 << 16
 
@@ -265,6 +267,11 @@ def _shared(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(_read(answers, "a", np.uint64)[0]), np.unique(_read(answers, "b", np.uint64)[0])
 
 
+def _word(size: np.ndarray, group: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Units of a passage (15 bits), the group it is compared in (16 bits), and whether several texts hold it."""
+    return (size.astype(np.uint64) | group << np.uint64(15) | many.astype(np.uint64) << np.uint64(31)).astype(np.uint32)
+
+
 def _ask_passages(method: Method, parts: int):
     """Round two, in a bucket: the passages whose anchor other texts hold, equal ones once.
 
@@ -310,12 +317,13 @@ def _ask_passages(method: Method, parts: int):
         shown = np.flatnonzero(size > 0)
         one = np.zeros(len(unique), np.int64)
         one[back[shown]] = shown
-        part = _part(np.where(single[one], unique, anchor[one]), parts)
+        meet = np.where(single[one], unique, anchor[one])
+        part, group = _part(meet, parts), mixed(meet) & np.uint64(0xFFFF)
         for k, order in _dealt(part, parts):
             at = one[order]
             weight = method.weight(size[at])
             rows.append((
-                k, bucket, 0, unique[order], least[order], (size[at] | (most[order] > least[order]).astype(np.int64) << 31).astype(np.uint32),
+                k, bucket, 0, unique[order], least[order], _word(size[at], group[order], most[order] > least[order]),
                 body[ranges(place[at], weight)],
             ))
         return _rows(rows)
@@ -335,16 +343,25 @@ def _meet_passages(method: Method):
             return _rows(rows)
         prints, row = _read(table, "a", np.uint64)
         least, size = _read(table, "b", np.int64)[0], _read(table, "c", np.uint32)[0]
-        many, size = size >> 31, (size & 0x7FFFFFFF).astype(np.int64)
+        many, group, size = size >> 31, size >> 15 & 0xFFFF, (size & 0x7FFF).astype(np.int64)
         body = np.frombuffer(b"".join(_column(table, "d")), method.dtype)
         weight = method.weight(size)
         place = np.cumsum(weight) - weight
         unique, one, back = np.unique(prints, return_index=True, return_inverse=True)
         first = np.full(len(unique), np.iinfo(np.int64).max)
         np.minimum.at(first, back, least)
-        order = np.argsort(first, kind="stable")  # passages by their first document
+        order = np.argsort(group[one], kind="stable")  # equal windows are in one group
         chosen = one[order]
-        origin = method.origins(body[ranges(place[chosen], weight[chosen])], size[chosen], first[order])
+        ends = np.append(np.flatnonzero(np.diff(group[chosen])) + 1, len(chosen))
+        total = np.cumsum(weight[chosen])
+        origin, done = [], 0
+        while done < len(chosen):  # whole groups of about so many entries at a time
+            limit = np.searchsorted(total[ends - 1], (total[done - 1] if done else 0) + INDEX, side="right")
+            stop = int(ends[max(limit - 1, np.searchsorted(ends, done, side="right"))])
+            part_ = chosen[done:stop]
+            origin.append(method.origins(body[ranges(place[part_], weight[part_])], size[part_], first[order[done:stop]]))
+            done = stop
+        origin = np.concatenate(origin)
         windows = size[chosen] - WINDOW + 1
         # runs of windows with one first document
         start = np.cumsum(windows) - windows
@@ -449,7 +466,7 @@ def earlier_passages(docs: DataFrame, method: Method, empty: str, id_col: str =
     """
     spark = docs.sparkSession
     p = partitions(spark)
-    many = 4 * p if p <= 1000 else p
+    many = 2 * p  # hashing spreads them over the partitions
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     base = docs.select(F.col(id_col).cast("long").alias("least"), text.alias("text"), F.sha2(text, 256).alias("digest"))
     bucket: Column = F.pmod(F.xxhash64("digest"), F.lit(many)).cast("int")
