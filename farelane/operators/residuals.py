@@ -63,13 +63,15 @@ def sort_residuals(scored: DataFrame) -> DataFrame:
     return rows.orderBy("residual", F.xxhash64(*rows.columns))
 
 
-def worst_k(scored: DataFrame, k: int, edges: Sequence[float] = FARE_BANDS) -> DataFrame:
+def worst_k(scored: DataFrame, k: int, edges: Sequence[float] = FARE_BANDS, splits: int = 64) -> DataFrame:
     """The ``k`` largest absolute residuals per actual fare band, with their ``rank``.
 
-    Spark applies the rank limit inside every task before the shuffle, so a large
-    band sends ``k`` rows per task.
+    A band is split by a hash of the row; each part is ranked by itself, and then the
+    ``k`` first of all parts, so that no task sorts a whole band whatever ``k`` is.
     """
     rows = residuals(scored).withColumn("band", band_of(F.col("fare_amount"), edges))
     ties = [c for c in rows.columns if c not in ("band", "residual")]
-    order = Window.partitionBy("band").orderBy(F.desc(F.abs("residual")), *ties)
-    return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    worst = (F.desc(F.abs("residual")), *ties)
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(splits))
+    first = rows.withColumn("rank", F.row_number().over(Window.partitionBy("band", part).orderBy(*worst))).filter(F.col("rank") <= k)
+    return first.withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy(*worst))).filter(F.col("rank") <= k)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from farelane.operators.clean import clean_trips
@@ -28,15 +28,18 @@ def preprocess(
     by_month: bool = False,
     fmt: str = "parquet",
     table: bool = False,
+    text: bool = False,
 ) -> Processed:
     """Clean ``source``, build the 66 columns and write them: one job, one shuffle.
 
-    The row counts come from two column-free scans, of the source before and of the
-    output after; on parquet those read footers only. An observation inside the job
-    would keep the filters from reaching the scan. ``by_month`` partitions the output
+    The output is counted by a column-free scan, and so is the source: on parquet those
+    read footers only, while an observation inside the job would keep the filters from
+    reaching the scan. A ``text`` source has no filters to push and would be parsed
+    twice; it is counted inside the job. ``by_month`` partitions the output
     by the ``year`` and ``month`` of the pickup, so later readers can prune.
     """
-    clean = clean_trips(source, limits)
+    seen = Observation()
+    clean = clean_trips(source.observe(seen, F.count(F.lit(1)).alias("rows")) if text else source, limits)
     if by_month:
         dated = clean.withColumns({"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")})
         out = trip_features(dated, keep=("year", "month"), target=True)
@@ -45,4 +48,4 @@ def preprocess(
         write_dataset(trip_features(clean, target=True), dest, "overwrite", fmt, table)
     spark = source.sparkSession
     written = spark.table(dest) if table else read_processed(spark, dest, fmt)
-    return Processed(source.count(), written.count())
+    return Processed(seen.get["rows"] if text else source.count(), written.count())

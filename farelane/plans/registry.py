@@ -55,12 +55,25 @@ def read_models(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, f"{root}/models", MODELS)
 
 
-def latest_versions(models: DataFrame, stage: str = "Production") -> DataFrame:
-    """Newest version per model name in a stage: ``(name, version, path, kind)``."""
+def _checked(stage: str) -> str:
     if stage not in STAGES:
         raise ValueError(f"stage must be one of {', '.join(STAGES)}")
+    return stage
+
+
+def current_stages(models: DataFrame) -> DataFrame:
+    """``(name, version, stage, kind, path)``: each version with the stage it was given last."""
+    last = F.coalesce("seq", F.lit(0))
+    return models.groupBy("name", "version").agg(
+        F.max_by("stage", last).alias("stage"), F.max_by("kind", last).alias("kind"), F.max_by("path", last).alias("path")
+    )
+
+
+def latest_versions(models: DataFrame, stage: str = "Production") -> DataFrame:
+    """Newest version per model name in a stage: ``(name, version, path, kind)``."""
     return (
-        models.filter(F.col("stage") == stage)
+        current_stages(models)
+        .filter(F.col("stage") == _checked(stage))
         .groupBy("name")
         .agg(
             F.max("version").alias("version"),
@@ -76,28 +89,54 @@ def model_version(models: DataFrame, name: str, stage: str = "Production") -> in
     return None if found is None else found.version
 
 
+def batch_version(models: DataFrame, name: str, batch_id: int) -> int | None:
+    """The version that a micro-batch has stored, None when it has stored none."""
+    return models.filter((F.col("name") == name) & (F.col("batch_id") == batch_id)).agg(F.max("version")).first()[0]
+
+
+def _append_model(spark: SparkSession, root: str, row: tuple) -> None:
+    """``row``: name, version, stage, kind, path, batch_id, seq."""
+    rows = spark.createDataFrame([row], "name string, version int, stage string, kind string, path string, batch_id long, seq int")
+    rows.withColumn("ts", F.current_timestamp()).select(*MODELS.names).write.mode("append").parquet(f"{root}/models")
+
+
 def save_model(
-    spark: SparkSession, root: str, name: str, model, kind: str, stage: str = "Production"
+    spark: SparkSession, root: str, name: str, model, kind: str, stage: str = "None", batch_id: int | None = None
 ) -> tuple[int, str]:
-    """Store a model as the next version; ``model`` offers ``save(path)``."""
-    if stage not in STAGES:
-        raise ValueError(f"stage must be one of {', '.join(STAGES)}")
+    """Store a model as the next version; ``model`` offers ``save(path)``.
+
+    A new version is in no stage until :func:`promote` gives it one. ``batch_id`` names
+    the micro-batch it comes from, in the same row.
+    """
+    _checked(stage)
     known = read_models(spark, root).filter(F.col("name") == name).agg(F.max("version")).first()[0]
     version = (known or 0) + 1
     path = f"{root}/artifacts/{name}/{version:06d}-{time.strftime('%Y%m%d-%H%M%S')}"
     model.save(path)
-    row = spark.createDataFrame(
-        [(name, version, stage, kind, path)], "name string, version int, stage string, kind string, path string"
-    )
-    row.withColumn("ts", F.current_timestamp()).select(*MODELS.names).write.mode("append").parquet(f"{root}/models")
+    _append_model(spark, root, (name, version, stage, kind, path, batch_id, 0))
     return version, path
 
 
+def promote(spark: SparkSession, root: str, name: str, version: int, stage: str = "Production") -> None:
+    """Put a stored version into a stage, by one more row; what was there before stays a row, too."""
+    rows = read_models(spark, root).filter((F.col("name") == name) & (F.col("version") == version))
+    last = rows.orderBy(F.desc("seq")).first()
+    if last is None:
+        raise LookupError(f"no version {version} of {name}")
+    _append_model(spark, root, (name, version, _checked(stage), last.kind, last.path, last.batch_id, last.seq + 1))
+
+
 def load_latest(spark: SparkSession, root: str, name: str, stage: str = "Production"):
     """The newest model of a stage, or None."""
     found = latest_versions(read_models(spark, root), stage).filter(F.col("name") == name).first()
+    return None if found is None else _loaders()[found.kind](spark, found.path)
+
+
+def load_version(spark: SparkSession, root: str, name: str, version: int):
+    """One stored version."""
+    found = read_models(spark, root).filter((F.col("name") == name) & (F.col("version") == version)).first()
     if found is None:
-        return None
+        raise LookupError(f"no version {version} of {name}")
     return _loaders()[found.kind](spark, found.path)
 
 

@@ -64,6 +64,8 @@ MODELS = T.StructType(
         T.StructField("kind", T.StringType()),
         T.StructField("path", T.StringType()),
         T.StructField("ts", T.TimestampType()),
+        T.StructField("batch_id", T.LongType()),  # micro-batch it comes from
+        T.StructField("seq", T.IntegerType()),  # number of the change of stage
     ]
 )
 

@@ -44,7 +44,7 @@ def resolve(catalog: DataFrame, split: str, size: str, zone: str) -> tuple[str,
 
 
 def read_dataset(catalog: DataFrame, split: str, size: str, zone: str) -> DataFrame:
-    """Open a dataset with its zone's declared schema."""
+    """Open a dataset with its zone's declared schema; format ``table`` names a catalog table in ``path``."""
     fmt, path = resolve(catalog, split, size, zone)
     reader = read_raw if zone == "raw" else read_processed
     return reader(catalog.sparkSession, path, fmt)
@@ -65,7 +65,7 @@ def load_sizes(catalog: DataFrame, root: str) -> DataFrame:
         reader = spark.read
         if e["format"] == "csv":
             reader = reader.option("header", True).option("inferSchema", True)
-        df = reader.format(e["format"]).load(e["path"])
+        df = spark.table(e["path"]) if e["format"] == "table" else reader.format(e["format"]).load(e["path"])
         target = f"{root.rstrip('/')}/{dataset_name(e['split'], e['size'], e['zone'])}"
         write_dataset(df, target, "overwrite")
         loaded.append((e["split"], e["size"], e["zone"], "parquet", target))

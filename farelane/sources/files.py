@@ -14,19 +14,27 @@ from farelane.schema import PROCESSED, RAW, RAW_TEXT
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "csv", header: bool = True) -> DataFrame:
     """Raw trips. Text columns are named by position and typed by declaration; a field
-    that does not parse becomes null, and so falls to the missing-value rule."""
+    that does not parse becomes null, and so falls to the missing-value rule. ``fmt``
+    ``table`` opens the catalog table of that name."""
     if fmt == "csv":
         text = spark.read.schema(RAW_TEXT).option("header", header).option("mode", "PERMISSIVE").csv(path)
         return conform(text.withColumn("pickup_datetime", parse_utc(F.col("pickup_datetime"))), RAW)
-    return conform(spark.read.format(fmt).load(path), RAW)
+    return conform(spark.table(path) if fmt == "table" else spark.read.format(fmt).load(path), RAW)
 
 
-def read_processed(spark: SparkSession, path: str, fmt: str = "parquet", header: bool = True) -> DataFrame:
-    """The 66 float columns, features first and the fare last."""
-    reader = spark.read.schema(PROCESSED)
-    if fmt == "csv":
-        return reader.option("header", header).csv(path)
-    return reader.format(fmt).load(path)
+def read_processed(spark: SparkSession, path: str, fmt: str = "parquet", header: bool = True, months: bool = False) -> DataFrame:
+    """The 66 float columns, features first and the fare last.
+
+    ``months`` adds the folder columns ``year`` and ``month`` of a table written by
+    month, so that a filter on them prunes the scan. ``fmt`` ``table`` opens a catalog table.
+    """
+    if fmt == "table":
+        opened = spark.table(path)
+    elif fmt == "csv":
+        opened = spark.read.schema(PROCESSED).option("header", header).csv(path)
+    else:
+        opened = spark.read.schema(PROCESSED).format(fmt).load(path)
+    return opened.select(*PROCESSED.names, *(("year", "month") if months else ()))
 
 
 def conform(df: DataFrame, declared: T.StructType) -> DataFrame:

@@ -36,10 +36,30 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Copies that :func:`stage` has left in this session.
+_COPIES: list[str] = []
+
+
+def remove_copies(spark: SparkSession) -> None:
+    """Delete the copies that :func:`stage` has made so far; their tables can't be read any more."""
+    while _COPIES:
+        remove_folder(spark, _COPIES.pop())
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Rebalanced on the folder columns, so that tasks don't scatter small files over all folders."""
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.partitionBy(*partition_by).parquet(path)
+
+
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back; the copy stays."""
+    """Write ``df`` to the shared folder and read it back.
+
+    The copy stays for as long as the result may be read; :func:`remove_copies` deletes it.
+    """
     path = new_folder(df.sparkSession, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    _write(df, path, partition_by)
+    _COPIES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
@@ -49,7 +69,7 @@ def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Itera
     spark = df.sparkSession
     path = new_folder(spark, label)
     try:
-        df.write.partitionBy(*partition_by).parquet(path)
+        _write(df, path, partition_by)
         yield spark.read.schema(df.schema).parquet(path).select(df.columns)
     finally:
         remove_folder(spark, path)

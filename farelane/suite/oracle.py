@@ -137,6 +137,20 @@ requests AS (SELECT *,
          ELSE 'ok' END AS status
   FROM shifted)"""
 
+FIT_SETS = f"""{CLEAN},
+split_rows AS (SELECT {as_float("fare_amount")} AS fare, minute(pickup_datetime) % 10 < 3 AS held FROM clean),
+naive AS (SELECT (SELECT count(*) FROM split_rows WHERE NOT held) AS train_rows, count(*) AS held_rows,
+    avg(abs(fare - (SELECT avg(fare) FROM split_rows WHERE NOT held))) AS mean_mae FROM split_rows WHERE held)"""
+
+
+def _unit(j: int, bias: float) -> str:
+    """A hidden unit of the fixed network over the columns ``_0`` .. ``_64``."""
+    terms = " + ".join(f"{((7 * i + 3 * j) % 11 - 5) / 8}e0 * _{i}" for i in range(65))
+    return f"greatest({terms} + ({bias}e0), 0e0)"
+
+
+NETWORK = f"3e0 + 1.5e0 * {_unit(0, 0.25)} + 2.5e0 * {_unit(1, -0.5)}"
+
 EIGHT = f"key, {SEVEN}"
 
 
@@ -293,8 +307,14 @@ ORACLE: dict[str, str] = {
         FROM clean GROUP BY passenger_count""",
     "table_sink": f"""WITH {TRIPS}, both_writes AS (SELECT * FROM trips UNION ALL SELECT * FROM trips WHERE passenger_count > 4)
         SELECT passenger_count AS _0, count(*) AS n, {rnd("sum(fare_amount)", 4)} AS fares FROM both_writes GROUP BY 1""",
-    "bulk_load": f"""WITH {SPLIT} SELECT split, 'raw' AS zone, count(*) AS n, {rnd("sum(fare_amount)", 2)} AS fares FROM sets GROUP BY split
-        UNION ALL SELECT split, 'processed', count(*), {rnd(f"sum({as_float('fare_amount')})", 2)} FROM split_clean GROUP BY split""",
+    "bulk_load": f"""WITH {SPLIT}, size_steps AS (SELECT * FROM (VALUES ('500k', 1), ('100k', 2), ('10k', 4), ('1k', 8)) AS t(size, step)),
+        picked AS (SELECT sets.*, size FROM sets JOIN size_steps ON CAST(key AS BIGINT) % step = 0),
+        picked_clean AS (SELECT DISTINCT split, size, {SEVEN} FROM picked WHERE {" AND ".join(f"({r})" for r in RULES.values())})
+        SELECT split, size, 'raw' AS zone, count(*) AS n, {rnd("sum(fare_amount)", 2)} AS fares FROM picked GROUP BY split, size
+        UNION ALL SELECT split, size, 'processed', count(*), {rnd(f"sum({as_float('fare_amount')})", 2)} FROM picked_clean GROUP BY split, size""",
+    "catalog_table": f"""WITH {TRIPS} SELECT passenger_count, count(*) AS n, {rnd("sum(fare_amount)", 4)} AS fares FROM trips GROUP BY passenger_count""",
+    "processed_months": f"""WITH {CLEAN} SELECT count(*) AS trips, {rnd(f"avg({as_float('fare_amount')})", 4)} AS mean_fare, CAST(66 AS INTEGER) AS columns
+        FROM clean WHERE year(pickup_datetime) = 2012 AND month(pickup_datetime) >= 10""",
     "dataset_catalog": f"""WITH {SPLIT} SELECT passenger_count, count(*) AS n, max(pickup_datetime) AS last_pickup
         FROM sets WHERE split = 'val' GROUP BY passenger_count""",
     "inventory": f"""WITH {SPLIT} SELECT split || '_100k' AS dataset, 'raw' AS zone, count(*) AS rows,
@@ -396,7 +416,8 @@ ORACLE: dict[str, str] = {
         SELECT CAST(row_number() OVER (ORDER BY n DESC, cell) AS INTEGER) AS rank, cell,
           (SELECT count(*) FROM cells WHERE pickup_cell = top.cell) AS pickups,
           (SELECT count(*) FROM cells WHERE dropoff_cell = top.cell) AS dropoffs FROM top""",
-    "distance_correlation": f"WITH {TIMED} SELECT {rnd('corr(distance, fare_amount)')} AS r, count(*) AS n FROM timed",
+    "distance_correlation": f"""WITH {TIMED} SELECT {rnd('corr(distance, fare_amount)')} AS r, count(*) AS n,
+        abs(corr(distance, fare_amount)) * sqrt((count(*) - 2) / (1 - pow(corr(distance, fare_amount), 2))) > 4.9 AS significant FROM timed""",
     "correlation_matrix": correlations(),
     "feature_boxes": boxes(),
     "fare_line": f"WITH {SCORED} SELECT {rnd('slope')} AS slope, {rnd('intercept')} AS intercept, {rnd('r2')} AS r2, n FROM line",
@@ -422,7 +443,9 @@ ORACLE: dict[str, str] = {
           {rnd("lo + (b.bin + 1) * ((hi - lo) / 200)", 9)} AS bin_hi, coalesce(n, 0) AS n
         FROM (SELECT unnest(range(200)) AS bin) b CROSS JOIN (SELECT unnest(['prediction', 'truth']) AS series) s CROSS JOIN bounds
           LEFT JOIN binned ON binned.bin = b.bin AND binned.series = s.series""",
-    "residual_histogram": f"WITH {SCORED}, {histogram('scored', 'residual', 40, '-20e0', '20e0')}",
+    "residual_histogram": f"""WITH {SCORED}, {histogram('scored', 'residual', 40, '-20e0', '20e0')}
+        UNION ALL SELECT -1, NULL, -20e0, count(*) FROM scored WHERE residual < -20e0
+        UNION ALL SELECT 40, 20e0, NULL, count(*) FROM scored WHERE residual > 20e0""",
     "sorted_residuals": f"WITH {SCORED} SELECT pickup_datetime, {rnd('residual')} AS residual FROM scored",
     "worst_residuals": f"""WITH {SCORED}, banded AS (SELECT *, {BAND.format(x="fare_amount")} AS band FROM scored),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY band ORDER BY abs(residual) DESC, fare_amount, pickup_datetime) AS rank FROM banded)
@@ -451,13 +474,33 @@ ORACLE: dict[str, str] = {
         SELECT name, max(version) AS version, 'models/' || max(version) AS path, 'linear' AS kind, stage FROM models GROUP BY name, stage""",
     "stream_features": f"""WITH {CELLS.replace("SELECT DISTINCT", "SELECT")} SELECT {FEATURES_66} FROM cells""",
     "stream_dedup": f"WITH {TRIPS} SELECT DISTINCT {SEVEN} FROM trips",
-    "stream_error": f"""WITH {SCORED}, kept AS (SELECT {SEVEN} FROM trips WHERE {" AND ".join(f"({r})" for r in RULES.values())}),
+    "stream_error": f"""WITH {SCORED}, kept AS (SELECT {SEVEN}, unnest(range(CASE WHEN passenger_count = 3 THEN 2 ELSE 1 END)) AS copy FROM trips
+          WHERE {" AND ".join(f"({r})" for r in RULES.values())}),
         errors AS (SELECT epoch_us(pickup_datetime) AS us, abs(intercept + slope * ({MANHATTAN}) - fare_amount) AS e FROM kept, line),
-        closed AS (SELECT us // {STREAM_WINDOW} * {STREAM_WINDOW} AS start_us, e FROM errors)
-        SELECT start_us, start_us + {STREAM_WINDOW} AS end_us, {rnd("avg(e)", 4)} AS mae, count(*) AS rows FROM closed
-        WHERE start_us + {STREAM_WINDOW} <= (SELECT max(us) - 86400000000 FROM errors) GROUP BY start_us""",
+        placed AS (SELECT us // {STREAM_WINDOW} * {STREAM_WINDOW} AS start_us, e FROM errors)
+        SELECT start_us, start_us + {STREAM_WINDOW} AS end_us, {rnd("avg(e)", 4)} AS mae, count(*) AS rows FROM placed GROUP BY start_us""",
     "stream_refresh": f"""WITH {TRIPS} SELECT passenger_count, count(*) AS n, {rnd("sum(fare_amount)", 4)} AS fares FROM trips
         WHERE {" AND ".join(f"({r})" for r in RULES.values())} GROUP BY passenger_count""",
+    "linear_fit": f"""WITH {CLEAN} SELECT count(*) AS rows, 0e0 AS residual, 0e0 AS with_0, 0e0 AS with_20, 0e0 AS with_21, 0e0 AS with_22,
+        0e0 AS with_23, 0e0 AS with_24 FROM clean""",
+    "linear_scored_trips": f"""WITH {TIMED} SELECT CAST(month(lt) AS INTEGER) AS month, count(*) AS trips,
+        {rnd(f"avg({as_float('fare_amount')})", 2)} AS mean_prediction FROM timed GROUP BY 1""",
+    "tree_fit": f"WITH {FIT_SETS} SELECT 'gbt' AS model, train_rows, held_rows, {rnd('mean_mae', 3)} AS mean_mae, true AS beats_mean FROM naive",
+    "dense_fit": f"WITH {FIT_SETS} SELECT 'dense' AS model, train_rows, held_rows, {rnd('mean_mae', 3)} AS mean_mae, true AS beats_mean FROM naive",
+    "chunked_fit": f"""WITH {FIT_SETS} SELECT CAST(c AS BIGINT) AS chunk_id, CAST(least(train_rows - 2000 * c, 2000) AS BIGINT) AS rows, true AS beats_mean
+        FROM (SELECT train_rows, unnest(range((train_rows + 1999) // 2000)) AS c FROM naive)""",
+    "warm_start": f"WITH {FIT_SETS} SELECT train_rows AS rows, true AS ahead FROM naive",
+    "model_store": f"""WITH {FIT_SETS} SELECT CAST(1 AS INTEGER) AS in_production, CAST(2 AS INTEGER) AS newest, CAST(3 AS BIGINT) AS runs, train_rows,
+        held_rows, true AS beat_mean, true AS differ, true AS consistent FROM naive""",
+    "stream_fit": "SELECT 'stream-batch-' || b AS run_id, 'train' AS context, true AS beats_mean FROM (SELECT unnest(range(3)) AS b)",
+    "dense_scored": f"""WITH {MATRIX.replace("(SELECT CAST", "(SELECT pickup_datetime, fare_amount, CAST", 1)}
+        SELECT pickup_datetime, fare_amount, {rnd(NETWORK, 3)} AS prediction FROM m""",
+    "dense_requests": f"""WITH {REQUESTS}, holes AS (SELECT * REPLACE (
+          CASE WHEN request_id % 31 = 1 OR request_id % 37 = 2 OR request_id % 41 = 3 OR request_id % 43 = 4 THEN 'missing' ELSE status END AS status) FROM requests),
+        timed AS (SELECT *, pickup_datetime AS lt, {MANHATTAN} AS manhattan_km, {HAVERSINE} AS haversine_km FROM holes),
+        cells AS (SELECT *, {P5} AS pickup_cell, {D5} AS dropoff_cell FROM timed),
+        m AS (SELECT request_id, status, {", ".join(f"{as_float(x)} AS _{i}" for i, x in enumerate(feature_list()[:65]))} FROM cells)
+        SELECT request_id, status, CASE WHEN status = 'ok' THEN {rnd(NETWORK, 3)} END AS fare FROM m""",
     "weekday_fares": f"""WITH {TIMED} SELECT CAST(isodow(lt) - 1 AS INTEGER) AS dow, count(*) AS trips,
         {rnd("avg(fare_amount)", 4)} AS avg_fare, {rnd("avg(haversine_km)", 4)} AS avg_km FROM timed GROUP BY 1""",
 }

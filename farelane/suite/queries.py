@@ -6,9 +6,11 @@ results are rounded, so that they can be compared across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,8 @@ from farelane.operators.quantiles import exact_quantiles
 from farelane.plans import evaluate as ev
 from farelane.plans import registry
 from farelane.plans import train as tr
-from farelane.plans.dense import DenseModel, DenseSpec, fit_dense, model_udf
+from farelane.operators.features import to_vector
+from farelane.plans.dense import DenseModel, DenseSpec, fit_dense
 from farelane.plans.preprocess import preprocess
 from farelane.plans.score import fit_distance_line, ml_scorer, score, score_requests, with_utc
 from farelane.schema import CELLS_20, FEATURE_COLUMNS, MONTHS, RAW, RAW_TEXT, TARGET_COLUMN, WEEKDAYS
@@ -155,35 +158,61 @@ def table_sink(spark, folder):
     return spark.read.parquet(path).groupBy("_0").agg(F.count("*").alias("n"), r(F.sum("_1"), 4).alias("fares"))
 
 
-def _sized_sets(spark, folder) -> DataFrame:
-    """Train and validation trips, raw and processed, as files with a catalog."""
+def _sized_sets(spark, folder, sizes=(("100k", 1),)) -> DataFrame:
+    """Train and validation trips, raw and processed, as files with a catalog; a size holds every ``step``-th key."""
     root = new_folder(spark, "sets")
     source = raw(spark, folder)
-    train, val = ev.split_by_key(source, F.col("key").cast("long") * 7919 % 100)
+    key = F.col("key").cast("long")
     entries = []
-    for split, rows in (("train", train), ("val", val)):
-        path = f"{root}/{cat.dataset_name(split, '100k', 'raw')}"
-        files.write_dataset(rows, path, fmt="csv")
-        entries.append((split, "100k", "raw", "csv", path))
-        path = f"{root}/{cat.dataset_name(split, '100k', 'processed')}"
-        preprocess(rows, path)
-        entries.append((split, "100k", "processed", "parquet", path))
+    for size, step in sizes:
+        train, val = ev.split_by_key(source.filter(key % step == 0), key * 7919 % 100)
+        for split, rows in (("train", train), ("val", val)):
+            path = f"{root}/{cat.dataset_name(split, size, 'raw')}"
+            files.write_dataset(rows, path, fmt="csv")
+            entries.append((split, size, "raw", "csv", path))
+            path = f"{root}/{cat.dataset_name(split, size, 'processed')}"
+            preprocess(rows, path)
+            entries.append((split, size, "processed", "parquet", path))
     return cat.make_catalog(spark, entries)
 
 
 @query
 def bulk_load(spark, folder):
-    loaded = cat.load_sizes(_sized_sets(spark, folder), new_folder(spark, "loaded"))
+    sets = _sized_sets(spark, folder, (("500k", 1), ("100k", 2), ("10k", 4), ("1k", 8)))
+    loaded = cat.load_sizes(sets, new_folder(spark, "loaded"))
     parts = []
     for e in loaded.collect():
         fare = "fare_amount" if e["zone"] == "raw" else TARGET_COLUMN
         parts.append(
             spark.read.parquet(e["path"]).agg(F.count("*").alias("n"), r(F.sum(F.col(fare).cast("double")), 2).alias("fares"))
-            .select(F.lit(e["split"]).alias("split"), F.lit(e["zone"]).alias("zone"), "n", "fares")
+            .select(F.lit(e["split"]).alias("split"), F.lit(e["size"]).alias("size"), F.lit(e["zone"]).alias("zone"), "n", "fares")
         )
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def catalog_table(spark, folder):
+    """Raw trips saved as a catalog table, found through the catalog and read back."""
+    name = f"farelane_trips_{uuid.uuid4().hex}"
+    files.write_dataset(raw(spark, folder), name, table=True)
+    sets = cat.make_catalog(spark, [("train", "new", "raw", "table", name)])
+    rows = cat.read_dataset(sets, "train", "new", "raw")
+    found = stage(rows.groupBy("passenger_count").agg(F.count("*").alias("n"), r(F.sum("fare_amount"), 4).alias("fares")), "table")
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+@query
+def processed_months(spark, folder):
+    """A processed table written by month: a model fitted on its 66 columns, and the last three months read alone."""
+    path = new_folder(spark, "by-month")
+    preprocess(raw(spark, folder), path, by_month=True)
+    model = tr.fit(files.read_processed(spark, path), "linear")
+    late = files.read_processed(spark, path, months=True).filter("year = 2012 AND month >= 10")
+    found = tr.predict(late, model).agg(F.count("*").alias("trips"), r(F.avg("fare_amount"), 4).alias("mean_fare"))
+    return found.withColumn("columns", F.lit(len(files.read_processed(spark, path).columns)))
+
+
 @query
 def dataset_catalog(spark, folder):
     sets = _sized_sets(spark, folder)
@@ -575,8 +604,10 @@ def derived_cells(spark, folder):
 
 @query
 def distance_correlation(spark, folder):
-    found = profile.correlation(features.with_distance(cleaned(spark, folder)), "distance", "fare_amount")
-    return found.select(r("r").alias("r"), "n")
+    found = profile.correlation(features.with_distance(cleaned(spark, folder)), "distance", "fare_amount").first()
+    p = profile.pearson_p_value(found.r, found.n)
+    rows = spark.createDataFrame([(found.r, found.n, p < 1e-6)], "r double, n long, significant boolean")
+    return rows.withColumn("r", r("r"))
 
 
 @query
@@ -631,7 +662,7 @@ def prediction_histogram(spark, folder):
 @query
 def residual_histogram(spark, folder):
     scored = residuals.residuals(line_scored(spark, folder))
-    return _rounded_bins(histogram.histogram(scored, "residual", 40, -20.0, 20.0))
+    return _rounded_bins(histogram.histogram(scored, "residual", 40, -20.0, 20.0, outside=True))
 
 
 @query
@@ -744,6 +775,7 @@ def _monthly_models(spark, folder) -> DataFrame:
             F.when(F.col("n") % 2 == 0, "Production").otherwise("Staging").alias("stage"),
             F.lit("linear").alias("kind"),
             F.concat(F.lit("models/"), version).alias("path"),
+            F.lit(0).alias("seq"),
         )
     )
 
@@ -755,67 +787,143 @@ def stage_lookup(spark, folder):
     return both[0].unionByName(both[1])
 
 
-def _metrics(name: str, found: DataFrame) -> DataFrame:
-    return found.select(F.lit(name).alias("model"), r("loss", 4).alias("loss"), r("mae", 4).alias("mae"), "rows")
+#: Rate of the networks below; all else are the defaults: 100 rounds at most, patience 2.
+NETWORK = DenseSpec(learning_rate=0.005)
+#: Rows of a chunk, the default of the library that chunks exist for.
+CHUNK_ROWS = 2000
+
+
+def _fit_sets(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Processed trips to learn from and to test on, by the minute of the pickup."""
+    held = F.minute("pickup_datetime") % 10 < 3
+    rows = stage(features.trip_features(cleaned(spark, folder).withColumn("held", held), keep=("held",), target=True), "fit")
+    return rows.filter("NOT held").drop("held"), rows.filter("held").drop("held")
+
+
+def _mean_mae(train: DataFrame, held: DataFrame) -> tuple[int, int, float]:
+    """(rows, held rows, error on the held rows of predicting the mean fare)."""
+    fare = F.col(TARGET_COLUMN).cast("double")
+    n, mean = train.agg(F.count("*"), F.avg(fare)).first()
+    m, mae = held.agg(F.count("*"), F.avg(F.abs(fare - F.lit(mean)))).first()
+    return n, m, mae
+
+
+def _report(spark, name: str, train: DataFrame, held: DataFrame, mae: float) -> DataFrame:
+    n, m, mean_mae = _mean_mae(train, held)
+    rows = spark.createDataFrame(
+        [(name, n, m, mean_mae, mae < mean_mae)], "model string, train_rows long, held_rows long, mean_mae double, beats_mean boolean"
+    )
+    return rows.withColumn("mean_mae", r("mean_mae", 3))
 
 
 @query
 def linear_fit(spark, folder):
-    rows = processed(spark, folder)
-    return _metrics("linear", ev.evaluate(tr.predict(rows, tr.fit(rows, "linear"))))
+    """Least squares: residuals add up to nothing, alone and weighted by each real-valued feature."""
+    rows = stage(features.with_target(cleaned(spark, folder)), "fit")
+    model = tr.fit(rows, "linear")
+    scored = model.transform(to_vector(rows))
+    left = F.col("prediction") - F.col("label")
+    return scored.select(left.alias("e"), vector_to_array("features").alias("x")).agg(
+        F.count("*").alias("rows"), r(F.avg("e"), 3).alias("residual"),
+        *(r(F.avg(F.col("e") * F.col("x")[k]), 3).alias(f"with_{k}") for k in (0, 20, 21, 22, 23, 24)),
+    )
 
 
 @query
 def linear_scored_trips(spark, folder):
-    model = tr.fit(processed(spark, folder), "linear")
+    """Raw clean trips scored by the linear model: a flag column per month makes the means of each month agree."""
+    model = tr.fit(stage(features.with_target(cleaned(spark, folder)), "fit"), "linear")
     scored = score(cleaned(spark, folder), ml_scorer(model))
-    return scored.select("pickup_datetime", "fare_amount", r("prediction", 2).alias("prediction"))
+    return scored.groupBy(F.month(clock_date(local_clock(F.col("pickup_datetime")))).alias("month")).agg(
+        F.count("*").alias("trips"), r(F.avg("prediction"), 2).alias("mean_prediction")
+    )
 
 
 @query
 def tree_fit(spark, folder):
-    rows = processed(spark, folder)
-    bucket = ev.key_bucket(*FEATURE_COLUMNS)
-    train, held = ev.split_by_key(rows, bucket)
-    return _metrics("gbt", ev.evaluate(tr.predict(held, tr.fit(train, "gbt", held, rounds=5))))
+    train, held = _fit_sets(spark, folder)
+    return _report(spark, "gbt", train, held, ev.evaluate(tr.predict(held, tr.fit(train, "gbt", held))).first().mae)
 
 
 @query
 def dense_fit(spark, folder):
-    rows = processed(spark, folder)
-    train, held = ev.split_by_key(rows, ev.key_bucket(*FEATURE_COLUMNS))
-    model = fit_dense(train, held, spec=DenseSpec(learning_rate=0.005), epochs=3, partitions=2)
-    return spark.createDataFrame(
-        [(h["epoch"], h["val_loss"], h["val_mae"]) for h in model.history], "epoch int, val_loss double, val_mae double"
-    )
+    train, held = _fit_sets(spark, folder)
+    model = tr.fit(train, "dense", held, spec=NETWORK)
+    return _report(spark, "dense", train, held, ev.evaluate(tr.predict(held, model)).first().mae)
+
+
+def _fixed_network() -> DenseModel:
+    """A small network whose weights are whole-number arithmetic, the same in SQL."""
+    spec = DenseSpec(hidden=(2,))
+    n = spec.inputs
+    first = [[((7 * i + 3 * j) % 11 - 5) / 8 for j in range(2)] for i in range(n)]
+    layers = [
+        [np.ones(n), np.zeros(n), np.zeros(n), np.full(n, 1 - 1e-3), np.array(first), np.array([0.25, -0.5])],
+        [np.ones(2), np.zeros(2), np.zeros(2), np.full(2, 1 - 1e-3), np.array([[1.5], [2.5]]), np.array([3.0])],
+    ]
+    return DenseModel(spec, np.concatenate([p.ravel() for layer in layers for p in layer]))
 
 
 @query
 def dense_scored(spark, folder):
-    rows = processed(spark, folder)
-    model = fit_dense(rows, spec=DenseSpec(learning_rate=0.005), epochs=1, partitions=2)
-    predict = model_udf(spark, model)
-    return rows.select(F.col(TARGET_COLUMN).alias("fare_amount"), r(predict(*FEATURE_COLUMNS), 2).alias("prediction"))
+    """Raw clean trips scored by a network."""
+    scored = score(cleaned(spark, folder), ml_scorer(_fixed_network()))
+    return scored.select("pickup_datetime", "fare_amount", r("prediction", 3).alias("prediction"))
+
+
+@query
+def dense_requests(spark, folder):
+    """Requests scored by a network; some of them miss a field."""
+    i = F.col("request_id")
+    requests = trips.requests_from_events(trips.read_events(spark, folder)).withColumns({
+        "pickup_latitude": F.when(i % 31 != 1, F.col("pickup_latitude")),
+        "dropoff_longitude": F.when(i % 37 == 2, F.lit(float("nan"))).otherwise(F.col("dropoff_longitude")),
+        "passenger_count": F.when(i % 41 != 3, F.col("passenger_count")),
+        "pickup_datetime": F.when(i % 43 != 4, F.col("pickup_datetime")),
+    })
+    return score_requests(requests, ml_scorer(_fixed_network())).select("request_id", "status", r("fare", 3).alias("fare"))
 
 
 @query
 def chunked_fit(spark, folder):
-    rows = processed(spark, folder)
-    train, held = ev.split_by_key(rows, ev.key_bucket(*FEATURE_COLUMNS))
-    size = max(train.count() // 2, 1)
-    placed = chunks.with_chunk_id(train, FEATURE_COLUMNS[20:25], size)
-    _, lines = tr.fit_chunks(placed, held, spec=DenseSpec(learning_rate=0.005), epochs=1, partitions=2)
-    return lines
+    train, held = _fit_sets(spark, folder)
+    placed = chunks.with_chunk_id(train, FEATURE_COLUMNS[20:25], CHUNK_ROWS)
+    _, lines = tr.fit_chunks(placed, held, spec=NETWORK)
+    mean_mae = _mean_mae(train, held)[2]
+    return lines.select("chunk_id", "rows", (F.col("val_mae") < mean_mae).alias("beats_mean"))
+
+
+@query
+def warm_start(spark, folder):
+    """A network that goes on from a stored one begins ahead of a new one."""
+    train, held = _fit_sets(spark, folder)
+    path = new_folder(spark, "network")
+    cold = fit_dense(train, held, spec=NETWORK, epochs=3)
+    cold.save(path)
+    warm = fit_dense(train, held, warm=DenseModel.load(spark, path), epochs=1)
+    ahead = warm.history[0]["train_loss"] < cold.history[0]["train_loss"]
+    return spark.createDataFrame([(train.count(), ahead)], "rows long, ahead boolean")
 
 
 @query
 def model_store(spark, folder):
+    """The model in production is evaluated before its successor is trained, which waits outside production."""
     root = new_folder(spark, "store")
-    rows = processed(spark, folder)
-    train, held = ev.split_by_key(rows, ev.key_bucket(*FEATURE_COLUMNS))
+    train, held = _fit_sets(spark, folder)
     tr.train(train, held, root, kind="linear")
+    registry.promote(spark, root, "fare", 1)
     tr.evaluate_production(held, root)
-    return registry.compare_runs(registry.read_runs(spark, root))
+    tr.train(train, held, root, kind="gbt")
+    models, runs = registry.read_models(spark, root), registry.read_runs(spark, root)
+    found = registry.compare_runs(runs).first()
+    n, m, mean_mae = _mean_mae(train, held)
+    return spark.createDataFrame(
+        [(
+            registry.model_version(models, "fare"), registry.model_version(models, "fare", "None"), runs.count(), n, m,
+            max(found.eval_mae, found.train_mae) < mean_mae, found.delta != 0, found.improved == (found.train_mae < found.eval_mae),
+        )],
+        "in_production int, newest int, runs long, train_rows long, held_rows long, beat_mean boolean, differ boolean, consistent boolean",
+    )
 
 
 # ---------------------------------------------------------------- streams
@@ -836,6 +944,17 @@ def stream_trips(spark, folder) -> DataFrame:
     return trips.trips_from_events(trips.stream_events(spark, folder))
 
 
+def shuffled_trips(spark, folder, n: int = 5) -> DataFrame:
+    """Trips as a stream of files whose order has nothing to do with the pickup time, one file a batch."""
+    path = new_folder(spark, "arrivals")
+    rows = raw(spark, folder)
+    for k in range(n):
+        rows.filter(F.pmod(F.xxhash64("key", "fare_amount"), F.lit(n)) == k).coalesce(1).write.mode("append").parquet(path)
+    # copies of a trip come again with a later file
+    rows.filter(F.col("passenger_count") == 3).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @query
 def stream_features(spark, folder):
     return rounded_features(_land(streams.stream_features(stream_trips(spark, folder)), "stream-features"))
@@ -843,14 +962,18 @@ def stream_features(spark, folder):
 
 @query
 def stream_dedup(spark, folder):
-    return _land(streams.stream_dedup(stream_trips(spark, folder)), "stream-dedup")
+    path = new_folder(spark, "stream-dedup")
+    source = shuffled_trips(spark, folder)
+    _run(streams.stream_dedup(source, path, f"{path}-state", period="yyyy"))
+    return streams.read_deduped(spark, path, source.schema)
 
 
 @query
 def stream_error(spark, folder):
     line = fit_distance_line(cleaned(spark, folder))
-    landed = _land(streams.stream_error(stream_trips(spark, folder), line), "stream-error")
-    return landed.select(
+    path = new_folder(spark, "stream-error")
+    _run(streams.stream_error(shuffled_trips(spark, folder), line, path, f"{path}-state"))
+    return streams.read_error(spark, path).select(
         F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), r("mae", 4).alias("mae"), "rows"
     )
 
@@ -866,11 +989,13 @@ def stream_refresh(spark, folder):
 
 @query
 def stream_fit(spark, folder):
+    """A network that goes on with each of several batches; every stored version names its batch."""
     root = new_folder(spark, "stream-fit")
-    held = processed(spark, folder)
-    feed_ = streams.stream_features(stream_trips(spark, folder))
-    _run(stream_training.stream_fit(feed_, held, root, f"{root}/state", spec=DenseSpec(learning_rate=0.005)))
-    return registry.read_runs(spark, root).select("run_id", "context", r(F.col("metrics")["mae"], 2).alias("mae"))
+    train, held = _fit_sets(spark, folder)
+    feed_ = streams.stream_features(shuffled_trips(spark, folder, 2))
+    _run(stream_training.stream_fit(feed_, held, root, f"{root}/state", spec=NETWORK))
+    mean_mae = _mean_mae(train, held)[2]
+    return registry.read_runs(spark, root).select("run_id", "context", (F.col("metrics")["mae"] < mean_mae).alias("beats_mean"))
 
 
 # ---------------------------------------------------------------- flagship

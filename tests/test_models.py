@@ -86,15 +86,45 @@ def test_network_learns_and_continues(processed, naive, spark, tmp_path):
     assert min(h["val_loss"] for h in second.history) < 1.5 * min(h["val_loss"] for h in first.history)
 
 
-def test_early_stopping_keeps_the_best(processed):
+@pytest.mark.parametrize("patience, rounds, best", [(1, 3, 1), (2, 8, 5), (3, 9, 5), (0, 3, 1)])
+def test_early_stopping_stops_in_the_round_it_should(processed, monkeypatch, patience, rounds, best):
+    """A scripted series of validation losses pins the last round and the weights that are kept."""
+    script = iter([5.0, 4.0, 4.5, 3.0, 3.5, 2.0, 2.1, 2.2, 2.3, 1.0])
+    seen = []
+
+    def scripted(rows, model, target=None):
+        seen.append(model.weights)
+        return next(script), 0.0
+
+    monkeypatch.setattr(dense, "losses", scripted)
     train_rows, held = processed
-    wild = DenseSpec(learning_rate=0.3, batch_size=32)
-    model = fit_dense(train_rows, held, spec=wild, epochs=12, patience=0, partitions=2)
-    losses = [h["val_loss"] for h in model.history]
-    found = evaluate.evaluate(model.transform(held), truth=TARGET_COLUMN).first().loss
-    assert found == pytest.approx(min(losses))
-    if len(losses) < 12:
-        assert losses[-1] >= min(losses)
+    model = fit_dense(train_rows, held, spec=FAST, epochs=10, patience=patience)
+    assert len(model.history) == rounds
+    assert np.array_equal(model.weights, seen[best])
+
+
+def test_losses_equal_the_evaluation_of_scored_rows(processed):
+    train_rows, held = processed
+    model = fit_dense(train_rows, spec=FAST, epochs=1)
+    want = evaluate.evaluate(model.transform(held), truth=TARGET_COLUMN).first()
+    assert dense.losses(held, model) == pytest.approx((want.loss, want.mae), rel=1e-4)
+
+
+def test_missing_values_are_not_dropped_in_silence(processed):
+    broken = processed[0].withColumn("_3", F.when(F.col("_23") > 0.1, F.lit(None)).otherwise(F.col("_3")))
+    with pytest.raises(ValueError, match="missing"):
+        fit_dense(broken, spec=FAST, epochs=1)
+
+
+def test_other_columns_are_left_alone(processed):
+    train_rows, held = processed
+    more = train_rows.withColumn("year", F.lit(2012))
+    assert fit_dense(more, held, spec=FAST, epochs=1).features == tuple(FEATURE_COLUMNS)
+
+
+def test_few_partitions_warn(processed):
+    with pytest.warns(UserWarning, match="splits"):
+        fit_dense(processed[0].repartition(4), spec=FAST, epochs=1, partitions=2)
 
 
 def test_network_refuses_nothing(processed):
@@ -120,10 +150,15 @@ def test_train_evaluate_compare(processed, spark, tmp_path):
     assert registry.load_latest(spark, root, "fare") is None
     assert train.train(train_rows.limit(0), held, root, "linear") is None
     first = train.train(train_rows, held, root, "linear")
+    assert train.evaluate_production(held, root) is None  # a new version is in no stage
+    with pytest.raises(LookupError):
+        registry.promote(spark, root, "fare", 7)
+    registry.promote(spark, root, "fare", 1)
     assert train.evaluate_production(held, root) == pytest.approx(first)
     train.train(train_rows, held, root, "gbt", rounds=2)
     models = registry.read_models(spark, root)
-    assert registry.model_version(models, "fare") == 2
+    assert registry.model_version(models, "fare") == 1
+    assert registry.model_version(models, "fare", "None") == 2
     assert registry.model_version(models, "fare", "Staging") is None
     assert registry.model_version(models, "other") is None
     with pytest.raises(ValueError):
@@ -131,6 +166,10 @@ def test_train_evaluate_compare(processed, spark, tmp_path):
     row = registry.compare_runs(registry.read_runs(spark, root)).first()
     assert row.eval_mae == round(first, 2)
     assert row.improved == (row.train_mae < row.eval_mae)
+    registry.promote(spark, root, "fare", 2)
+    registry.promote(spark, root, "fare", 1, "Archived")
+    models = registry.read_models(spark, root)
+    assert registry.model_version(models, "fare") == 2 and registry.model_version(models, "fare", "Archived") == 1
     params = [r.params for r in registry.read_runs(spark, root).orderBy("ts").collect()]
     assert params[0]["kind"] == "linear" and params[1]["model_version"] == "1"
 
@@ -149,6 +188,20 @@ def test_requests(spark, folder):
     by = {r.status: r for r in scored.groupBy("status").agg(F.count("fare").alias("fares"), F.count("*").alias("n")).collect()}
     assert by["ok"].fares == by["ok"].n
     assert by["ambiguous"].fares == by["nonexistent"].fares == 0
+    holes = requests.withColumn("pickup_latitude", F.when(F.col("request_id") % 5 == 0, F.lit(float("nan"))).when(F.col("request_id") % 5 != 1, F.col("pickup_latitude")))
+    found = {r.status: r for r in score.score_requests(holes, line).groupBy("status").agg(F.count("fare").alias("fares"), F.count("*").alias("n")).collect()}
+    assert found["missing"].n == requests.filter("request_id % 5 < 2").count() and found["missing"].fares == 0
+
+
+@pytest.mark.parametrize("kind, options", [("linear", {}), ("gbt", {"rounds": 2}), ("dense", {"spec": FAST, "epochs": 1})])
+def test_every_model_scores_trips_and_requests(spark, folder, processed, kind, options):
+    model = train.fit(processed[0], kind, **options)
+    scorer = score.ml_scorer(model)
+    clean = clean_trips(raw_trips(spark, folder))
+    scored = score.score(clean, scorer)
+    assert scored.columns == [*clean.columns, "prediction"] and scored.filter("prediction IS NULL OR isnan(prediction)").count() == 0
+    answers = score.score_requests(requests_from_events(read_events(spark, folder)), scorer)
+    assert answers.filter("(status = 'ok') <> (fare IS NOT NULL)").count() == 0
 
 
 def test_golden_request(spark, trips):

@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from farelane.operators.clean import clean_trips, drop_duplicate_trips, filter_trips
@@ -25,44 +27,66 @@ def test_stream_features_equal_batch(spark, folder, tmp_path):
     assert rows(landed) == rows(with_target(filter_trips(raw_trips(spark, folder))))
 
 
-def test_stream_dedup_equals_batch_over_several_batches(spark, folder, tmp_path):
-    source = tmp_path / "in"
-    raw = raw_trips(spark, folder)
-    for _ in range(2):  # every trip arrives again in the second file
-        raw.coalesce(1).write.mode("append").parquet(str(source))
-    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).parquet(str(source))
-    landed = land(spark, streams.stream_dedup(stream, "5000 days"), tmp_path)
-    assert rows(landed) == rows(drop_duplicate_trips(raw.drop("key")))
+def scattered(spark, raw, source, files):
+    """The trips as a stream of files out of pickup order, one a batch; every trip of two passengers comes twice."""
+    place = F.pmod(F.xxhash64("key", "fare_amount"), F.lit(files))
+    for k in range(files):
+        raw.filter(place == k).coalesce(1).write.mode("append").parquet(str(source))
+    raw.filter("passenger_count = 2").coalesce(1).write.mode("append").parquet(str(source))
+    return spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).parquet(str(source))
 
 
-def test_fold_copies_only_removes_copies(spark):
-    df = spark.range(1000).selectExpr("id % 10 AS a", "CAST(NULL AS DOUBLE) AS b").coalesce(1)
-    folded = streams.fold_copies(df)
-    assert folded.count() == 10 and folded.distinct().count() == 10
+@pytest.mark.parametrize("files", [1, 4, 16])
+def test_stream_dedup_equals_batch_on_any_layout(spark, folder, tmp_path, files):
+    raw = raw_trips(spark, folder)
+    odd = raw.limit(1).withColumns({"pickup_datetime": F.lit(None).cast("timestamp_ntz"), "fare_amount": F.lit(None).cast("double")})
+    raw = raw.unionByName(odd).unionByName(odd)
+    stream = scattered(spark, raw, tmp_path / "in", files)
+    path = str(tmp_path / "out")
+    for state in ("a", "a", "b"):  # "b" starts without its checkpoint and replays every batch
+        streams.stream_dedup(stream, path, str(tmp_path / state), period="yyyy").awaitTermination()
+    assert rows(streams.read_deduped(spark, path, RAW)) == rows(drop_duplicate_trips(raw.drop("key")))
 
 
-def test_stream_error_equals_batch_for_closed_windows(spark, folder, tmp_path):
+@pytest.mark.parametrize("files", [1, 4, 16])
+def test_stream_error_counts_every_trip_and_window(spark, folder, tmp_path, files):
     raw = raw_trips(spark, folder)
     line = fit_distance_line(clean_trips(raw))
-    landed = land(spark, streams.stream_error(trips_from_events(stream_events(spark, folder)), line), tmp_path)
-    scored = line(filter_trips(raw))
+    stream = scattered(spark, raw, tmp_path / "in", files)
+    path = str(tmp_path / "out")
+    for state in ("a", "b"):
+        streams.stream_error(stream, line, path, str(tmp_path / state)).awaitTermination()
+    scored = line(filter_trips(raw.unionByName(raw.filter("passenger_count = 2"))))
     whole = scored.groupBy(F.window(F.col("pickup_datetime").cast("timestamp"), "30 days").alias("w")).agg(
-        F.avg(F.abs(F.col("prediction") - F.col("fare_amount"))).alias("mae")
+        F.avg(F.abs(F.col("prediction") - F.col("fare_amount"))).alias("mae"), F.count("*").alias("n")
     )
-    want = {r.w.start: r.mae for r in whole.collect()}
-    got = {r.window_start: r.mae for r in landed.collect()}
-    assert len(want) - 2 <= len(got) < len(want)
-    assert all(abs(want[k] - v) < 1e-9 for k, v in got.items())
+    want = {r.w.start: (r.mae, r.n) for r in whole.collect()}
+    got = {r.window_start: (r.mae, r.rows) for r in streams.read_error(spark, path).collect()}
+    assert want.keys() == got.keys()
+    assert all(got[k][1] == n and abs(got[k][0] - mae) < 1e-9 for k, (mae, n) in want.items())
 
 
-def test_stream_fit_does_each_batch_once(spark, folder, tmp_path):
+def test_stream_fit_survives_a_crash_between_model_and_log(spark, folder, tmp_path, monkeypatch):
     root = str(tmp_path / "store")
     feed = streams.stream_features(trips_from_events(stream_events(spark, folder)))
     valid = with_target(clean_trips(raw_trips(spark, folder)))
+    spec = DenseSpec(learning_rate=0.01)
+    whole = registry.log_run
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(registry, "log_run", crash)
+    with pytest.raises(StreamingQueryException):
+        fit.stream_fit(feed, valid, root, str(tmp_path / "a"), spec=spec, epochs=1).awaitTermination()
+    assert registry.read_runs(spark, root).count() == 0
+    weights = registry.load_latest(spark, root, "stream").weights
+    monkeypatch.setattr(registry, "log_run", whole)
     for state in ("a", "a", "b"):  # "b" starts without its checkpoint and replays batch 0
-        fit.stream_fit(feed, valid, root, str(tmp_path / state), spec=DenseSpec(learning_rate=0.01)).awaitTermination()
+        fit.stream_fit(feed, valid, root, str(tmp_path / state), spec=spec, epochs=1).awaitTermination()
     assert registry.read_runs(spark, root).count() == 1
-    assert registry.model_version(registry.read_models(spark, root), "stream") == 1
+    assert registry.read_models(spark, root).count() == 1
+    assert (registry.load_latest(spark, root, "stream").weights == weights).all()
 
 
 def test_periodic_refresh_picks_up_new_files(spark, folder, tmp_path):
