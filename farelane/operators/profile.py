@@ -10,7 +10,7 @@ from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.operators.quantiles import number, per_column, stack_columns, summaries
+from farelane.operators.quantiles import Summary, number, per_column, stack_columns, summaries
 from farelane.staging import staged
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -32,7 +32,7 @@ def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (last values within 1.5 IQR) and outlier count per column."""
     with staged(df.select(*(number(c).alias(c) for c in cols)), "box") as rows:
         found = summaries(rows, cols, QUARTILES)
-        filled = [c for c in cols if found[c].count]
+        filled = [c for c in cols if found[c].count and found[c].ones is None]
         x = F.col("x")
         reach = {c: 1.5 * (found[c].quantiles[2] - found[c].quantiles[0]) for c in filled}
         low = per_column([found[c].quantiles[0] - reach[c] for c in filled])
@@ -50,6 +50,7 @@ def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             else []
         )
     whiskers = {filled[m.c]: (m.low, m.high, m.outliers) for m in marks}
+    whiskers |= {c: _flag_whiskers(found[c]) for c in cols if found[c].ones is not None}
     out = [(c, *found[c].quantiles, *whiskers.get(c, (None, None, 0))) for c in cols]
     return df.sparkSession.createDataFrame(
         out,
@@ -57,6 +58,15 @@ def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+def _flag_whiskers(s: Summary) -> tuple[float, float, int]:
+    """Whiskers and outliers of a column of zeros and ones."""
+    q25, _, q75 = s.quantiles
+    reach = 1.5 * (q75 - q25)
+    values = [(v, n) for v, n in ((0.0, s.count - s.ones), (1.0, s.ones)) if n]
+    low, high = [v for v, _ in values if v >= q25 - reach], [v for v, _ in values if v <= q75 + reach]
+    return low[0], high[-1], sum(n for v, n in values if not q25 - reach <= v <= q75 + reach)
+
+
 def column_info(df: DataFrame) -> DataFrame:
     """``(position, column, type, non_null)`` for every column, in one pass."""
     rows = [
