@@ -463,6 +463,9 @@ def earlier_passages(docs: DataFrame, method: Method, empty: str, id_col: str =
     the smallest of their ids; the others are covered whole if they hold a window.
     Repeated ids don't precede each other. A row without an id precedes nothing and
     keeps its whole text. ``empty`` is the digest of nothing.
+
+    A task holds one bucket, half a shuffle partition on average: set
+    ``spark.sql.shuffle.partitions`` so that a partition is some 100 MB of text at most.
     """
     spark = docs.sparkSession
     p = partitions(spark)
