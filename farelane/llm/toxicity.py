@@ -22,7 +22,7 @@ class Spec:
 
     ``sample``: labelled rows a fit learns from, at most about so many, taken by a
     hash of the id; scoring and all else covers every row. ``shards``: independent
-    learners, averaged. ``bits``: width of the feature hash. ``alpha`` and ``beta``
+    learners, averaged. ``bits``: width of the feature hash, 32 at most. ``alpha`` and ``beta``
     set the per-coordinate rates, ``l1`` and ``l2`` the penalties. ``aside``: of so many
     rows, a shard holds one back to place the border between the labels.
     """
@@ -116,7 +116,7 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, spec: Spec, seed: int) -> t
     The bias is moved so that one half is the best border (by F1) of the rows held back.
     """
     counts = np.fromiter(map(len, rows), np.int64, len(rows))
-    keys, at = np.unique(np.concatenate(rows) if len(rows) else np.zeros(0, np.uint64), return_inverse=True)
+    keys, at = np.unique(np.concatenate(rows) if len(rows) else np.zeros(0, np.uint32), return_inverse=True)
     z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
     bias = len(keys)
     first = np.cumsum(counts) - counts
@@ -137,7 +137,7 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, spec: Spec, seed: int) -> t
     w = weight(np.arange(len(keys) + 1))
     w[bias] -= border(np.array([w[at[first[r] : first[r] + counts[r]]].sum() + w[bias] for r in np.flatnonzero(held)]), labels[held])
     use = np.flatnonzero(w[:bias])
-    return keys[use], w[use], float(w[bias])
+    return keys[use].astype(np.uint64), w[use], float(w[bias])
 
 
 def fit(
@@ -164,7 +164,7 @@ def fit(
     source = source.join(marked, F.col("d") == F.col("i")).select("d", "y", "t")
 
     def extract(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [pack(np.unique(features(words(words_of(t)), spec.bits))) for t in batch.column(2).to_pylist()]
+        made = [pack(np.unique(features(words(words_of(t)), spec.bits)).astype(np.uint32)) for t in batch.column(2).to_pylist()]
         return pa.record_batch([batch.column(0), batch.column(1), pa.array(made, pa.binary())], names=["d", "y", "f"])
 
     words = Words()
@@ -173,7 +173,7 @@ def fit(
 
     def learn_shard(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("d", "ascending"), ("f", "ascending")])
-        k, w, b = ftrl([np.frombuffer(f, np.uint64) for f in table["f"].to_pylist()], table["y"].to_numpy().astype(float), spec, key[0].as_py())
+        k, w, b = ftrl([np.frombuffer(f, np.uint32) for f in table["f"].to_pylist()], table["y"].to_numpy().astype(float), spec, key[0].as_py())
         return pa.table({"k": np.append(k, np.uint64(0)).view(np.int64), "w": np.append(w, b), "bias": np.append(np.zeros(len(k), bool), True)})
 
     learnt = rows.groupBy("shard").applyInArrow(learn_shard, "k long, w double, bias boolean")
