@@ -70,7 +70,7 @@ def steps(spark, folder: str, rounds: int) -> dict:
         "stream_features": stream,
         "linear_fit_score": lambda: fitted("linear"),
         "tree_fit_score": lambda: fitted("gbt", rounds=10, depth=4),
-        "dense_rounds": lambda: fit_dense(table(), table(), spec=DenseSpec(), epochs=rounds).history[-1]["val_mae"],
+        "dense_rounds": lambda: fit_dense(table(), table(), spec=DenseSpec(learning_rate=0.005), epochs=rounds).history[-1]["val_mae"],
     }
 
 
