@@ -154,7 +154,8 @@ def passages(method: Method, stretch: tuple) -> tuple[np.ndarray, Passages]:
     window = ranges(first, length - WINDOW + 1)
     part = np.repeat(np.arange(len(owner)), length - WINDOW + 1)
     place, key = place[window], key[window]
-    begin = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (part[1:] != part[:-1]))))
+    # words around one place can be named in different rounds: then the anchor differs though the place doesn't
+    begin = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (key[1:] != key[:-1]) | (part[1:] != part[:-1]))))
     part = part[begin]
     start = window[begin]
     return values, Passages(owner[part], start, np.diff(np.append(begin, len(window))), key[begin], start - first[part] + offset[part])

@@ -177,6 +177,18 @@ def test_word_dedup_equals_brute_force(odd):
     assert rows_of(recompression.dedup_words(odd[1])) == sorted(plain_dedup(odd[0], lambda t: t.encode().split()), key=repr)
 
 
+def test_windows_around_one_word_named_in_different_rounds(spark):
+    """Windows around one word, of runs on both sides, close in different rounds; the shared window has another left neighbour."""
+    rows = []
+    for b in range(12):
+        for k in range(1, 49, 4):
+            window = ["a"] * k + [f"b{b}"] + ["a"] * (49 - k)
+            rows.append((len(rows), " ".join(["a", *window, "c", *(f"e{len(rows)}.{x}" for x in range(5))])))
+            rows.append((len(rows), " ".join([f"d{len(rows)}", *window, "c", *(f"e{len(rows)}.{x}" for x in range(5))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(recompression.dedup_words(docs)) == sorted(plain_dedup(rows, lambda t: t.encode().split()), key=repr)
+
+
 @pytest.mark.parametrize("method", [bwt.Bytes(), recompression.Words()])
 @pytest.mark.parametrize("hot, segment", [(3, 1 << 16), (1000, 130), (3, 130)])
 def test_hot_anchors_and_long_texts(method, hot, segment, monkeypatch):
