@@ -24,9 +24,22 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]*\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
-#: DER begins with a sequence of over 127 bytes (0x30 0x81 to 0x84), which base64 shows as MIG to MIT or MH.
-_DER = re.compile(r"M(?=[IH])[A-Za-z0-9+/]{86,}={0,2}")
+#: Between the markers: headers, base64, and line ends as such or escaped.
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[^-]++|-(?!----))*+)-----END \1-----")
+_HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
+_ENCRYPTED = re.compile(r"^DEK-Info:\s*[A-Z0-9-]+,[0-9A-Fa-f]{16,}\s*$", re.MULTILINE)
+#: A line end, as such or as JSON and env files write it.
+_ESCAPED = re.compile(r"\\+[nr]")
+_BREAK = re.compile(r"[ \t]*(?:(?:[\r\n]|\\+[nr])[ \t]*)+")
+#: DER begins with a sequence: 0x30, its length, and the tag of an integer or a sequence. Base64 shows lengths of up to
+#: 127 bytes as MA to MH, with the tag behind, and longer ones (0x81 to 0x84) as MIE to MIT.
+_DER = re.compile(r"M(?:[A-H][AEIMQUYcgkosw048][Cw]|I[E-T])")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]+")
+#: Bytes of the shortest key; and those below which two integers are a signature.
+_LEAST, _PAIR = 21, 114
+#: A marker of another kind than a private key's, right before a body.
+_PUBLIC = re.compile(r"-----BEGIN (?![A-Z0-9 ]*PRIVATE KEY-----)[A-Z0-9 ]+-----(?:\s|\\+[nr])*\Z")
+_HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}")
 #: A length of under 64 KB before a key's name: AAAA in base64.
 _SSH = re.compile(r"AAAA[A-Za-z0-9+/]{40,}={0,2}")
 
@@ -101,10 +114,76 @@ def is_token_header(text: str) -> bool:
 
 
 def _pem_body(match: re.Match) -> bool:
-    data = _padded(re.sub(r"\s", "", match[2]))
+    """Base64 of a key, or headers that name a cipher and base64 of whole blocks of it."""
+    lines = _ESCAPED.sub("\n", match[2]).replace("\\/", "/").strip().split("\n")
+    n = 0
+    while n < len(lines) and (_HEADER.match(lines[n]) or n and lines[n][:1] in (" ", "\t")):  # a header may go on, indented
+        n += 1
+    data = _padded(re.sub(r"\s", "", "".join(lines[n:])))
+    if n and _ENCRYPTED.search("\n".join(lines[:n])):
+        return bool(data) and len(data) >= 16 and len(data) % 8 == 0
     return is_der_key(data) or is_openssh_private(data)
 
 
+def _is_pair(data: bytes) -> bool:
+    """Two integers: a signature if short."""
+    first = der_length(data, der_length(data)[1])
+    second = der_length(data, first[2])
+    return first[0] == 0x02 and second is not None and second[0] == 0x02 and second[2] == len(data)
+
+
+def _der_end(text: str, start: int) -> tuple[int, bool] | None:
+    """(end, whether it is on one line) of the base64 of a DER key at ``start``: its own length says how far to read."""
+    head = _padded(text[start : start + 8])
+    if head is None or len(head) != 6:
+        return None
+    more = head[1] & 0x7F if head[1] & 0x80 else 0
+    total = 2 + more + (int.from_bytes(head[2 : 2 + more], "big") if more else head[1])
+    left = -(-total * 4 // 3)
+    if total < _LEAST or left > len(text) - start:
+        return None
+    at, parts = start, []
+    while True:
+        run = _BASE64.match(text, at, at + left)
+        if run is None:
+            return None
+        parts.append(run[0])
+        at, left = run.end(), left - len(run[0])
+        if not left:
+            break
+        gap = _BREAK.match(text, at)
+        if gap is None:
+            return None
+        at = gap.end()
+    body = "".join(parts)
+    follow = text[at : at + 1]
+    if follow and (follow.isascii() and follow.isalnum() or follow in "+/" or follow in "-_" and ("-" in body or "_" in body)):
+        return None
+    data = _padded(body)
+    if not is_der_key(data) or total < _PAIR and _is_pair(data):
+        return None
+    while text[at : at + 1] == "=" and -len(body) % 4:
+        at, body = at + 1, body + "="
+    return at, len(parts) == 1
+
+
+def _der_spans(text: str, pems: list[Span]) -> list[Span]:
+    """Keys in base64 of either alphabet, also over several lines. What stands between markers is told by these:
+    a confirmed key is not listed once more, except one of over 64 characters on one line; certificates are none."""
+    found, done = [], 0
+    for m in _DER.finditer(text):
+        start = m.start()
+        if start < done or (got := _der_end(text, start)) is None:
+            continue
+        end, single = got
+        if not (single and end - start >= 87 and m[0][1] in "IH"):
+            if any(a <= start < b for _, a, b in pems) or _PUBLIC.search(text, max(0, start - 100), start):
+                continue
+        found.append(("der", start, end))
+        done = end
+    return found
+
+
 def base_spans(text: str) -> list[Span]:
     """Spans that a pattern alone decides: leftmost, without overlap within a kind, too short ones dropped after."""
     low = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -120,14 +199,13 @@ def confirmed_spans(text: str) -> list[Span]:
         found += [("jwt", m.start(), m.end()) for m in _JWT.finditer(text) if is_token_header(m[0].split(".")[0])]
     if "PRIVATE KEY-----" in text:
         found += [("pem", m.start(), m.end()) for m in _PEM.finditer(text) if _pem_body(m)]
-    if "MI" in text or "MH" in text:
-        found += [("der", m.start(), m.end()) for m in _DER.finditer(text) if is_der_key(_padded(m[0]))]
+    found += _der_spans(text, [s for s in found if s[0] == "pem"])
     if "AAAA" in text:
         found += [("ssh", m.start(), m.end()) for m in _SSH.finditer(text) if is_ssh_key(_padded(m[0]))]
-    # a key written in hex digits is reported as such too
-    for m in _HEX.finditer(text) if "30" in text else ():
-        if m[0].startswith("30") and len(m[0]) % 2 == 0 and len(m[0]) >= 64 and is_der_key(bytes.fromhex(m[0])):
-            found.append(("der", m.start(), m.end()))
+    # a key written in hex digits of either case is reported as such too
+    for a, b in sorted({m.span() for p in (_HEX, _HEX_KEY) for m in p.finditer(text)}) if "30" in text else ():
+        if text.startswith("30", a) and (b - a) % 2 == 0 and b - a >= 64 and is_der_key(bytes.fromhex(text[a:b])):
+            found.append(("der", a, b))
     return found
 
 

@@ -282,6 +282,37 @@ def test_structure_decides():
     assert kinds("ssh-ed25519 " + base64.b64encode(ssh[:-1]).decode()) == []
 
 
+def test_keys_in_any_dress():
+    """Keys with escaped line ends, headers, short sequences, wrapped lines, the other alphabet, or upper-case hex digits."""
+    whole = lambda t, kind: [(k, a, b) for k, a, b in secrets.confirmed_spans(f"x: {t} y")] == [(kind, 3, 3 + len(t))]
+    escaped = _pem(_der()).replace("\n", "\\n")
+    assert whole(escaped, "pem") and whole(escaped.replace("\\n", "\\r\\n"), "pem") and whole(_pem(_der()).replace("\n", "\r\n"), "pem")
+    assert secrets.redacted('{"key": "' + escaped + '\\n"}') == '{"key": "[SECRET]\\n"}'
+    lines = "\n".join(re.findall(".{1,64}", base64.b64encode(bytes(range(96))).decode()))
+    locked = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n\n{lines}\n-----END RSA PRIVATE KEY-----"
+    assert whole(locked, "pem") and whole(locked.replace("\n", "\\n"), "pem")
+    assert not secrets.confirmed_spans(locked.replace("DEK-Info", "Comment"))
+    short = bytes.fromhex("302e020100300506032b657004220420") + bytes(range(7, 39))
+    text = base64.b64encode(short).decode()
+    assert len(text) == 64 and whole(text, "der") and whole(_pem(short), "pem")
+    assert not secrets.confirmed_spans(base64.b64encode(short[:-1]).decode())
+    for size in (197, 198, 199):
+        for wide in (64, 76):
+            pieces = re.findall(f".{{1,{wide}}}", base64.b64encode(_der(size)).decode())
+            for end in ("\n", "\r\n", "\n  ", "\\n"):
+                assert whole(end.join(pieces), "der")
+            assert [k for k, *_ in secrets.confirmed_spans("\n".join([*pieces, "then more words"]))] == ["der"]
+        cert = "\n".join(["-----BEGIN CERTIFICATE-----", *pieces, "-----END CERTIFICATE-----"])
+        assert not secrets.confirmed_spans(cert)
+    for shift in range(4):
+        inner = short[2:-32] + bytes([0xFB, 0xFF, 0xFE, 0x3E][shift:] + [0xFB] * (28 + shift))
+        url = base64.urlsafe_b64encode(short[:2] + inner).decode()
+        assert ("-" in url or "_" in url) and whole(url, "der")
+    assert whole(_der().hex().upper(), "der") and whole(_der().hex().upper()[:90] + _der().hex()[90:], "der")
+    signature = b"\x30\x44\x02\x20" + bytes(range(1, 33)) + b"\x02\x20" + bytes(range(1, 33))
+    assert not secrets.confirmed_spans(base64.b64encode(signature).decode())
+
+
 def test_base_spans_follow_the_patterns(spark):
     text = "é PassWord: 'abcdef' token=abc api_key=\"A/b+c=.-_9\" AKIA" + "A" * 16 + " AKIA123 " + "0" * 24 + " " + "f" * 23 + " ſecret=abcdefgh Key"
     found = secrets.base_spans(text)
