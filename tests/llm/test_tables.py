@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cases import CLASHING, passages, plain_components, rows_of, table
-from farelane.llm import bpe, rollups, vectors, warc
+from farelane.llm import bpe, rollups, suite, vectors, warc
 from farelane.llm.graph import components
 from farelane.staging import new_folder
 
@@ -156,6 +156,13 @@ def test_deltas_add_up_in_any_order_and_repetition(spark):
     assert rows_of(rollups.totals(spark, folded)) == rows_of(rollups.totals(spark, path))
 
 
+def test_german_texts_without_a_source_are_revised(spark, tmp_path):
+    rows = [(1, "eins 12 zwei", None, "de"), (2, "drei 45", "src1", "de"), (3, "vier 6", "src3", "de"), (4, "five 7", None, "en"), (5, "sechs 8", "src1", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = suite.op8_rollups(spark, str(tmp_path)).filter("tokenizer = 'words.1'").select("source", "lang", "docs", "tokens")
+    assert rows_of(got) == sorted([(None, "de", 1, 2), ("src1", "de", 1, 1), ("src3", "de", 0, 0), (None, "en", 1, 2), ("src1", None, 1, 2)], key=repr)
+
+
 def test_counts_of_a_real_tokenizer(spark):
     import public_tokenizers
 
