@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.llm import bpe, contamination, secrets, simhash, toxicity
-from farelane.llm.shared import folder
+from farelane.llm.shared import cut, folder
 
 #: Names of helper columns; long, so that no column of the input has them.
 _ID, _SIZE = "__pipeline_id", "__pipeline_chars"
+_MARK, _HASH, _FIRST = "__pipeline_mark", "__pipeline_hash", "__pipeline_first"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,11 +27,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the smallest id stays; rows without an id stay, too."""
-    named = simhash.near_classes(docs).filter("component_id IS NOT NULL AND doc_id <> component_id")
-    named = named.select(F.col("doc_id").alias(_ID)).distinct()
-    kept = docs.join(named, F.col("doc_id") == F.col(_ID), "left_anti")
-    return kept.select(*docs.columns)
+    """Of each class of near copies one row stays, of the smallest id; rows without an id stay, too.
+
+    Rows are judged each: equal rows are copies of each other, and an id that stands on
+    several texts loses only those that are copies. Of different rows of the smallest id
+    the one with the least hash stays.
+    """
+    mark = F.xxhash64(*docs.columns)
+    much = cut(simhash.surplus(docs, mark).select(F.col("i").alias(_ID), F.col("mark").alias(_MARK), F.col("first").alias(_FIRST)))
+    marked = docs.withColumn(_HASH, mark)
+    same = (F.col("doc_id").cast("long") == F.col(_ID)) & (F.col(_HASH) == F.col(_MARK))
+    kept = marked.join(much, same, "left_anti").select(*docs.columns)
+    again = much.filter(F.col(_FIRST))
+    if again.isEmpty():
+        return kept
+    return kept.unionByName(marked.join(again, same, "left_semi").dropDuplicates(["doc_id", _HASH]).select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

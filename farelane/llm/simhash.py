@@ -7,7 +7,7 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
@@ -54,17 +54,21 @@ def fingerprint(text: bytes | None, size: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """``(id_col, fp)`` of every row, in one pass without a shuffle; ``fp`` is the signed view of the 64 bits."""
-    source = docs.select(F.col(id_col).alias("i"), utf8(text_col).alias("t"))
-    kind = pa.schema([("i", pa.int64()), ("fp", pa.int64())])
+def _marked(docs: DataFrame, id_col: str, text_col: str, size: int, mark: Column) -> DataFrame:
+    """``(i, mark, fp)`` of every row: its id, a number that goes with it, its fingerprint."""
+    source = docs.select(F.col(id_col).cast("long").alias("i"), mark.cast("long").alias("mark"), utf8(text_col).alias("t"))
+    kind = pa.schema([("i", pa.int64()), ("mark", pa.int64()), ("fp", pa.int64())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fp = np.fromiter((fingerprint(t, size) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-        return pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(fp.view(np.int64))], schema=kind)
+        fp = np.fromiter((fingerprint(t, size) for t in batch.column(2).to_pylist()), np.uint64, batch.num_rows)
+        return pa.record_batch([batch.column(0), batch.column(1), pa.array(fp.view(np.int64))], schema=kind)
+
+    return source.mapInArrow(batches(run), "i long, mark long, fp long")
 
-    found = source.withColumn("i", F.col("i").cast("long")).mapInArrow(batches(run), "i long, fp long")
-    return found.select(F.col("i").alias(id_col), "fp")
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
+    """``(id_col, fp)`` of every row, in one pass without a shuffle; ``fp`` is the signed view of the 64 bits."""
+    return _marked(docs, id_col, text_col, size, F.lit(0)).select(F.col("i").alias(id_col), "fp")
 
 
 # ---------------------------------------------------------------- masks
@@ -219,11 +223,34 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty table gives no rows.
     """
     rows = cut(fingerprints(docs, id_col, text_col, size).select(F.col(id_col).alias("i"), "fp"))
+    return rows.join(_named(rows), F.col("fp") == F.col("p")).select(
+        F.col("i").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows(i, fp)`` -> ``(p, root, component_id)``: the class of each fingerprint, and its smallest id.
+
+    Ids may repeat, so two classes can have one smallest id; ``root`` tells them apart.
+    """
     prints = rows.groupBy("fp").agg(F.min("i").alias("least"))
     found = components(links(prints.select("fp")))
     by_print = prints.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     by_root = by_print.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = by_print.join(by_root, "root").select(F.col("fp").alias("p"), "component_id")
-    return rows.join(named, F.col("fp") == F.col("p")).select(
-        F.col("i").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    return by_print.join(by_root, "root").select(F.col("fp").alias("p"), "root", "component_id")
+
+
+def surplus(docs: DataFrame, mark: Column, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
+    """``(i, mark, first)``: what is too much if each class of :func:`near_classes` keeps one of its rows with an id.
+
+    ``mark`` is a hash of the whole row. A class keeps the least mark of its smallest
+    id; the ids and marks of its other rows are listed once each, with ``first`` false.
+    Equal rows that are the least of their class are listed with ``first`` true: one of
+    them stays. Rows without an id are not listed.
+    """
+    rows = cut(_marked(docs, id_col, text_col, size, mark))
+    named = rows.join(_named(rows.select("i", "fp")), F.col("fp") == F.col("p")).filter("i IS NOT NULL")
+    each = cut(named.groupBy("root", "component_id", "i", "mark").agg(F.count("*").alias("n")))
+    least = each.filter("i = component_id").groupBy("root").agg(F.min("mark").alias("least")).withColumnRenamed("root", "r")
+    first = (F.col("i") == F.col("component_id")) & (F.col("mark") == F.col("least"))
+    return each.join(least, F.col("root") == F.col("r")).select("i", "mark", first.alias("first"), "n").filter("NOT first OR n > 1").select("i", "mark", "first")

@@ -70,3 +70,14 @@ def test_run_returns_the_last_stage(spark, tmp_path):
     assert {"doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"} <= set(out.columns) and 0 < out.count() < docs.count()
     assert public_tokenizers.PATTERN and np.all([len(r.ids) == r.n_tokens for r in out.limit(20).collect()])
     assert contamination.WINDOW == 13
+
+
+def test_one_row_of_each_class_stays_where_ids_repeat(spark):
+    text = {k: " ".join(f"{k}{n}" for n in range(80)) for k in "XYZVW"}
+    rows = [(3, text["X"]), (3, text["X"]), (5, text["X"]), (5, text["Y"]), (3, text["Z"]), (7, text["V"]), (7, text["V"]), (7, text["W"]), (None, text["X"]), (None, text["X"])]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(4)
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    want = [(3, "X"), (5, "Y"), (3, "Z"), (7, "V"), (7, "W"), (None, "X"), (None, "X")]
+    assert got.dtypes == docs.dtypes and sorted(map(tuple, got.collect()), key=repr) == sorted([(i, text[k], "en") for i, k in want], key=repr)
+    one = spark.createDataFrame([(1, text["X"], "en"), (1, text["X"], "de"), (2, text["X"], "en")], docs.schema)
+    assert [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, one, "").collect()] == [1]
