@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import heapq
 from functools import lru_cache
 from hashlib import sha256
 
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from farelane.llm.shared import batches
 
 NONE = np.int32(np.iinfo(np.int32).max)
+#: Bytes of a word beyond which it is merged alone through a heap: a matrix row takes a round for each merge.
+LONG = 1024
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -29,6 +32,7 @@ class Vocabulary:
     def __init__(self, path: str):
         with open(path, "rb") as lines:
             self.rank = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
+        self.whole = self.rank
         size = max(self.rank.values()) + 1
         self.bytes = [b""] * size
         for word, k in self.rank.items():
@@ -45,6 +49,7 @@ class Vocabulary:
                     left.append(a)
                     right.append(b)
                     made.append(k)
+        self._table: dict[int, int] | None = None
         self._build(np.array(left, np.uint64) << np.uint64(32) | np.array(right, np.uint64), np.array(made, np.int32))
 
     def _build(self, keys: np.ndarray, values: np.ndarray) -> None:
@@ -82,6 +87,10 @@ class Vocabulary:
             live = live[~same & (self.values[at] != NONE)]
         return out
 
+    def letters(self, joined: bytes, count: np.ndarray) -> np.ndarray:
+        """The tokens of single bytes that words of ``count`` bytes, one after another, begin as."""
+        return self.single[np.frombuffer(joined, np.uint8)]
+
     def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(tokens, sizes) of words of about one length, padded to a matrix.
 
@@ -92,7 +101,7 @@ class Vocabulary:
         width = int(count.max())
         grid = np.zeros((len(words), width), np.int32)
         filled = np.arange(width) < count[:, None]
-        grid[filled] = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        grid[filled] = self.letters(b"".join(words), count)
         rank = np.full((len(words), max(width - 1, 1)), NONE, np.int32)
         both = filled[:, 1:]
         rank[:, : width - 1][both] = self.pairs(grid[:, :-1][both], grid[:, 1:][both])
@@ -112,20 +121,13 @@ class Vocabulary:
                 width = int(count.max())
                 grid, rank = grid[:, :width], rank[:, : max(width - 1, 1)]
             me = np.arange(len(rows))
-            if len(rows) == 1:  # one long word: move its tail in place
-                a, c = int(at[0]), int(count[0])
-                grid[0, a] = best[0]
-                grid[0, a + 1 : c - 1] = grid[0, a + 2 : c].copy()
-                rank[0, a : c - 2] = rank[0, a + 1 : c - 1].copy()
-                rank[0, c - 2 :] = NONE
-            else:
-                cols = np.arange(width)
-                tail = cols[:-1] > at[:, None]
-                grid[:, :-1][tail] = grid[:, 1:][tail]
-                grid[me, at] = best
-                tail = cols[: rank.shape[1] - 1] >= at[:, None]
-                rank[:, :-1][tail] = rank[:, 1:][tail]
-                rank[:, -1] = NONE
+            cols = np.arange(width)
+            tail = cols[:-1] > at[:, None]
+            grid[:, :-1][tail] = grid[:, 1:][tail]
+            grid[me, at] = best
+            tail = cols[: rank.shape[1] - 1] >= at[:, None]
+            rank[:, :-1][tail] = rank[:, 1:][tail]
+            rank[:, -1] = NONE
             count = count - 1
             for shift in (-1, 0):  # the pairs that the new token is part of
                 k = at + shift
@@ -135,10 +137,56 @@ class Vocabulary:
                 rank[me[use], k[use]] = self.pairs(grid[me[use], k[use]], grid[me[use], k[use] + 1])
         return done[np.arange(done.shape[1]) < sizes[:, None]], sizes
 
+    def merged_long(self, word: bytes) -> np.ndarray:
+        """Tokens of one long word: its pairs wait in a heap by rank and place, merged tokens leave a linked list.
+
+        Each merge costs a few heap steps however long the word is; the order is that of
+        :meth:`merged`, the least rank first and its leftmost place first.
+        """
+        start = self.letters(word, np.array([len(word)], np.int64))
+        first = self.pairs(start[:-1], start[1:])
+        live = np.flatnonzero(first != NONE)
+        heap = ((first[live].astype(np.int64) << 32) | live).tolist()
+        heapq.heapify(heap)
+        token, rank, n = start.tolist(), first.tolist(), len(start)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        rank.append(int(NONE))
+        table, none = self.table(), int(NONE)
+        while heap:
+            best = heapq.heappop(heap)
+            k, best = best & 0xFFFFFFFF, best >> 32
+            if rank[k] != best:
+                continue  # this pair is gone
+            gone = after[k]
+            token[k], rank[gone] = best, none
+            after[k] = right = after[gone]
+            token[gone] = -1
+            if right < n:
+                before[right] = k
+                made = rank[k] = table.get(best << 32 | token[right], none)
+                if made != none:
+                    heapq.heappush(heap, made << 32 | k)
+            else:
+                rank[k] = none
+            left = before[k]
+            if left >= 0:
+                made = rank[left] = table.get(token[left] << 32 | best, none)
+                if made != none:
+                    heapq.heappush(heap, made << 32 | left)
+        out = np.array(token, np.int32)
+        return out[out >= 0]
+
+    def table(self) -> dict[int, int]:
+        """The pairs as a dict, made when the first long word comes."""
+        if self._table is None:
+            used = np.flatnonzero(self.values != NONE)
+            self._table = dict(zip(self.keys[used].tolist(), self.values[used].tolist()))
+        return self._table
+
     def encode_words(self, words: list[bytes], cells: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
         """(tokens, sizes) of the words in turn; a word that is a token itself is that token."""
         length = np.fromiter(map(len, words), np.int64, len(words))
-        whole = np.fromiter((self.rank.get(w, -1) for w in words), np.int64, len(words))
+        whole = np.fromiter((self.whole.get(w, -1) for w in words), np.int64, len(words))
         order = np.argsort(np.where(whole >= 0, 0, length), kind="stable")
         sizes = np.ones(len(words), np.int64)
         direct = int((whole >= 0).sum())
@@ -146,7 +194,12 @@ class Vocabulary:
         at = direct
         while at < len(order):  # rows of one bucket differ in length by a quarter at most
             w = int(length[order[at]])
-            same = int(np.searchsorted(length[order[direct:]], max(w + w // 4, w + 1), side="right")) + direct
+            if w > LONG:
+                for i in order[at:]:
+                    parts.append(self.merged_long(words[i]))
+                    sizes[i] = len(parts[-1])
+                break
+            same = int(np.searchsorted(length[order[direct:]], min(max(w + w // 4, w + 1), LONG), side="right")) + direct
             end = min(same, at + max(1, cells // (w + w // 4 + 1)))
             tokens, own = self.merged([words[i] for i in order[at:end]])
             parts.append(tokens)
@@ -211,31 +264,47 @@ def word_starts(points: np.ndarray, text_start: np.ndarray) -> np.ndarray:
     return begin
 
 
-_POWER = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)]
+_POWER = 0x9E3779B97F4A7C15
 
 
 @lru_cache(maxsize=2)
-def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    base = int(_POWER[which])
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
-    for b in (base, pow(base, -1, 1 << 64)):
+    for b in (_POWER, pow(_POWER, -1, 1 << 64)):
         steps = np.full(size, np.uint64(b))
         steps[:1] = 1
         out.append(np.multiply.accumulate(steps))
     return out[0], out[1]
 
 
-def _prints(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
-    """64-bit fingerprints of ranges of code points, equal for equal ranges wherever they stand."""
-    up, down = _powers(which, max(1 << 21, 1 << len(points).bit_length()))
+def _prints(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit fingerprints of ranges of code points, equal for equal ranges wherever they stand.
+
+    Different ranges can share one (Thue-Morse words do, whatever the base), so they only group.
+    """
+    up, down = _powers(max(1 << 21, 1 << len(points).bit_length()))
     value = (points.astype(np.uint64) + np.uint64(0x51)) * np.uint64(0xBF58476D1CE4E5B9)
     value ^= value >> np.uint64(29)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * up[: len(points)], dtype=np.uint64)))
     return (total[ends] - total[starts]) * down[starts]
 
 
+def _unlike(a: np.ndarray, a_start: np.ndarray, b: np.ndarray, b_start: np.ndarray, a_size: np.ndarray, b_size: np.ndarray) -> np.ndarray:
+    """Which ranges of ``a`` differ from their ranges of ``b``, code point by code point."""
+    out = a_size != b_size
+    size = np.where(out, 0, a_size)
+    wrong = np.flatnonzero(a[_ranges(a_start, size)] != b[_ranges(b_start, size)])
+    if len(wrong):
+        out[np.searchsorted(np.cumsum(size), wrong, side="right")] = True
+    return out
+
+
 class Encoder:
-    """Encodes texts; remembers the tokens of words, and forgets them all when it holds too many."""
+    """Encodes texts; remembers the tokens of words, and forgets them all when it holds too many.
+
+    A word is known by its code points: fingerprints group equal words, and each word
+    is compared with the first of its group and with the remembered one.
+    """
 
     def __init__(self, vocab: Vocabulary, pattern: str, most: int = 1_000_000):
         self.vocab, self.most = vocab, most
@@ -243,11 +312,16 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known, self.check, self.place = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.flat, self.start, self.size = np.zeros(1 << 16, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.used = 0
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.flat, self.start, self.size = _Store(np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.text, self.text_start, self.text_size = _Store(np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def points(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The code points of all texts one after another, and how many each text has."""
+        count = np.fromiter(map(len, texts), np.int64, len(texts))
+        return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), count
 
-    def _words(self, texts: list[str], points: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, texts: list[str], points: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the words of all texts begin and end."""
         if self.split is None:
             mark = np.zeros(len(points), bool)
@@ -261,49 +335,83 @@ class Encoder:
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(tokens of all texts one after another, number of tokens of each text)."""
         texts = [t or "" for t in texts]
-        count = np.fromiter(map(len, texts), np.int64, len(texts))
+        points, count = self.points(texts)
         first = np.cumsum(count) - count
-        line = "".join(texts)
-        points = np.frombuffer(line.encode("utf-32-le"), np.uint32)
         if not len(points):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        starts, ends = self._words(texts, points, first, count)
-        mine, check = (_prints(points, starts, ends, k) for k in (0, 1))
+        starts, ends = self.words(texts, points, first, count)
+        if not len(starts):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        mine = _prints(points, starts, ends)
         _, one, back = np.unique(mine, return_index=True, return_inverse=True)
-        if (check[one][back] != check).any():  # both fingerprints name a word
-            _, one, back = np.unique(np.stack([mine, check]), axis=1, return_index=True, return_inverse=True)
-        place = self._look(line, starts[one], ends[one], mine[one], check[one])
+        length = ends - starts
+        other = _unlike(points, starts, points, starts[one][back], length, length[one][back])
+        while other.any():  # a fingerprint names several words: the first of those left begins a group of its own
+            rest = np.flatnonzero(other)
+            _, lead, again = np.unique(mine[rest], return_index=True, return_inverse=True)
+            back[rest], one = len(one) + again, np.concatenate((one, rest[lead]))
+            other[rest] = _unlike(points, starts[rest], points, starts[one][back[rest]], length[rest], length[one][back[rest]])
+        place = self._look(points, starts[one], ends[one], mine[one])
         ids = place[back]
         size = self.size[ids]
-        tokens = self.flat[_ranges(self.start[ids], size)]
+        tokens = self.flat.held()[_ranges(self.start[ids], size)]
         total = np.concatenate(([0], np.cumsum(size)))
         at = np.searchsorted(starts, first)
         return tokens, np.diff(np.append(total[at], total[-1]))
 
-    def _look(self, line: str, starts: np.ndarray, ends: np.ndarray, mine: np.ndarray, check: np.ndarray) -> np.ndarray:
+    def _look(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray, mine: np.ndarray) -> np.ndarray:
         """Places of distinct words in the memory; unknown ones are encoded and added."""
-        if len(self.size) > self.most:
+        if len(self.size) > self.most or self.text.used > 16 * self.most:
             self._clear()
-        at = np.searchsorted(self.known, mine)
-        near = np.minimum(at, max(len(self.known) - 1, 0))
-        have = (self.known[near] == mine) & (self.check[near] == check) if len(self.known) else np.zeros(len(mine), bool)
-        place = np.empty(len(mine), np.int64)
-        place[have] = self.place[near[have]]
-        new = np.flatnonzero(~have)
-        if len(new):
-            made, sizes = self.vocab.encode_words([line[a:b].encode() for a, b in zip(starts[new].tolist(), ends[new].tolist())])
-            place[new] = np.arange(len(self.size), len(self.size) + len(new))
-            while self.used + len(made) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-            self.flat[self.used : self.used + len(made)] = made
-            self.start = np.concatenate((self.start, self.used + np.cumsum(sizes) - sizes))
-            self.size = np.concatenate((self.size, sizes))
-            self.used += len(made)
-            self.known, self.check = np.insert(self.known, at[new], mine[new]), np.insert(self.check, at[new], check[new])
-            self.place = np.insert(self.place, at[new], place[new])
+        length = ends - starts
+        place = np.full(len(mine), -1, np.int64)
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, mine), len(self.known) - 1)
+            have = np.flatnonzero(self.known[at] == mine)
+            found = self.place[at[have]]
+            same = ~_unlike(points, starts[have], self.text.held(), self.text_start[found], length[have], self.text_size[found])
+            place[have[same]] = found[same]
+        new = np.flatnonzero(place < 0)
+        if not len(new):
+            return place
+        line = points[_ranges(starts[new], length[new])].tobytes().decode("utf-32-le")
+        stops = np.cumsum(length[new]).tolist()
+        made, sizes = self.vocab.encode_words([line[a:b].encode() for a, b in zip([0, *stops[:-1]], stops)])
+        place[new] = np.arange(len(self.size), len(self.size) + len(new))
+        self.start = np.concatenate((self.start, self.flat.used + np.cumsum(sizes) - sizes))
+        self.size = np.concatenate((self.size, sizes))
+        self.flat.add(made)
+        self.text_start = np.concatenate((self.text_start, self.text.used + np.cumsum(length[new]) - length[new]))
+        self.text_size = np.concatenate((self.text_size, length[new]))
+        self.text.add(points[_ranges(starts[new], length[new])])
+        # of words with one fingerprint the first is remembered, the others are encoded whenever they come
+        fresh, lead = np.unique(mine[new], return_index=True)
+        at = np.searchsorted(self.known, fresh)
+        if len(self.known):
+            unseen = self.known[np.minimum(at, len(self.known) - 1)] != fresh
+            fresh, lead, at = fresh[unseen], lead[unseen], at[unseen]
+        self.known, self.place = np.insert(self.known, at, fresh), np.insert(self.place, at, place[new[lead]])
         return place
 
 
+class _Store:
+    """A growing array."""
+
+    def __init__(self, kind: type):
+        self.values, self.used = np.zeros(1 << 16, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.used + len(more) > len(self.values):
+            room = np.zeros(2 * (self.used + len(more)), self.values.dtype)
+            room[: self.used] = self.values[: self.used]
+            self.values = room
+        self.values[self.used : self.used + len(more)] = more
+        self.used += len(more)
+
+    def held(self) -> np.ndarray:
+        return self.values[: self.used]
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> Encoder:
     """One for each Python worker, so that its memory of words serves all its tasks."""
@@ -318,7 +426,8 @@ def tokenize(
     Every match of ``pattern`` is encoded by itself, without special tokens; the ids
     are decoded again and both are digested (ids as little-endian unsigned 32-bit
     integers). Null reads as empty: no tokens, digests of nothing. Repeated rows are
-    encoded alike; an empty table gives no rows; a very long text or word has no limit.
+    encoded alike; an empty table gives no rows. A word of over :data:`LONG` bytes is
+    merged alone through a heap, some seconds a megabyte; texts have no limit but a task's memory.
     """
     source = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
     schema = "i long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
