@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, bwt, contamination, recompression, rollups, secrets, simhash, toxicity, vectors, warc
+from farelane.llm import bpe, bwt, contamination, recompression, rollups, secrets, simhash, toxicity, vectors, warc, whitening
 from farelane.staging import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,8 @@ def op9_bpe(spark, folder):
 @query
 def op10_bwt(spark, folder):
     return bwt.dedup_bytes(table(spark, folder, "documents"))
+
+
+@query
+def op11_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
