@@ -18,6 +18,8 @@ from farelane.llm.shared import batches
 NONE = np.int32(np.iinfo(np.int32).max)
 #: Bytes of a word beyond which it is merged alone through a heap: a matrix row takes a round for each merge.
 LONG = 1024
+#: Characters of a very long text that are encoded at once.
+PIECE = 1 << 20
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -228,20 +230,19 @@ LETTER, NUMBER, SPACE = 1, 2, 3
 
 
 @lru_cache(maxsize=1)
-def _kinds() -> np.ndarray:
+def kinds() -> np.ndarray:
     """The kind of every code point: letter, number, white space or none of them."""
-    kinds = np.zeros(0x110000, np.uint8)
+    found = np.zeros(0x110000, np.uint8)
     every = "".join(map(chr, (c for c in range(0x110000) if not 0xD800 <= c < 0xE000)))
     for kind, name in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         for m in regex.finditer(name, every):
-            kinds[ord(m[0][0]) : ord(m[0][-1]) + 1] = kind
-    return kinds
+            found[ord(m[0][0]) : ord(m[0][-1]) + 1] = kind
+    return found
 
 
 def word_starts(points: np.ndarray, text_start: np.ndarray) -> np.ndarray:
     """Which code points begin a word of :data:`KNOWN`; ``text_start`` marks the first of each text."""
-    n = len(points)
-    kind = _kinds()[points]
+    kind = kinds()[points]
     begin = text_start.copy()
     begin[1:] |= kind[1:] != kind[:-1]
     # white space before other text leaves its last character: a blank joins the next word, others stand alone
@@ -249,7 +250,13 @@ def word_starts(points: np.ndarray, text_start: np.ndarray) -> np.ndarray:
     blank = points[after - 1] == 0x20
     begin[after - 1] = True
     begin[after[blank]] = False
-    # contractions: an apostrophe alone that begins a word takes one or two letters with it
+    contractions(begin, points, kind, text_start)
+    return begin
+
+
+def contractions(begin: np.ndarray, points: np.ndarray, kind: np.ndarray, text_start: np.ndarray) -> None:
+    """An apostrophe alone that begins a word takes one or two letters with it; ``begin`` is changed in place."""
+    n = len(points)
     mark = np.flatnonzero((points[:-1] == 0x27) & begin[:-1] & (kind[1:] == LETTER) & ~text_start[1:]) if n else np.zeros(0, np.int64)
     one = np.isin(points[mark + 1], [ord(c) for c in "stmd"])
     third = np.minimum(mark + 2, n - 1)
@@ -261,7 +268,18 @@ def word_starts(points: np.ndarray, text_start: np.ndarray) -> np.ndarray:
         begin[chosen + 1] = False
         ends = chosen + size
         begin[ends[ends < n]] = True
-    return begin
+
+
+def cuts(text: str, most: int | None = None):
+    """Pieces of about ``most`` characters that begin with a blank after another character, where no word runs on."""
+    most, start = most or PIECE, 0
+    while start < len(text):
+        end = text.find(" ", start + most)
+        while end > 0 and text[end - 1].isspace():
+            end = text.find(" ", end + 1)
+        end = end if end > 0 else len(text)
+        yield text[start:end]
+        start = end
 
 
 _POWER = 0x9E3779B97F4A7C15
@@ -335,6 +353,11 @@ class Encoder:
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(tokens of all texts one after another, number of tokens of each text)."""
         texts = [t or "" for t in texts]
+        if len(texts) == 1 and len(texts[0]) > 2 * PIECE:
+            pieces = list(cuts(texts[0]))
+            if len(pieces) > 1:
+                parts = [self([p])[0] for p in pieces]
+                return np.concatenate(parts), np.array([sum(map(len, parts))], np.int64)
         points, count = self.points(texts)
         first = np.cumsum(count) - count
         if not len(points):
@@ -427,7 +450,7 @@ def tokenize(
     are decoded again and both are digested (ids as little-endian unsigned 32-bit
     integers). Null reads as empty: no tokens, digests of nothing. Repeated rows are
     encoded alike; an empty table gives no rows. A word of over :data:`LONG` bytes is
-    merged alone through a heap, some seconds a megabyte; texts have no limit but a task's memory.
+    merged alone through a heap, some seconds a megabyte; very long texts are encoded piece by piece.
     """
     source = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
     schema = "i long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
