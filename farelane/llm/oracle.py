@@ -100,3 +100,26 @@ SELECT bytes.doc_id, CAST(bytes.n AS BIGINT) AS n_bytes, CAST(coalesce(lost.n, 0
   sha256(unhex(coalesce(kept.h, bytes.h))) AS kept_sha256
 FROM bytes LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
 """
+
+ORACLE["op13_lexical"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+asked AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(w) AS term FROM b) GROUP BY q, item_id, term),
+totals AS (SELECT count(*) AS docs, sum(len(w)) AS words FROM d WHERE len(w) > 0),
+held AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY r, doc_id, n, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM held CROSS JOIN totals GROUP BY term, docs),
+scores AS (
+  SELECT q, item_id, r, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) CROSS JOIN totals GROUP BY q, item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10
+"""

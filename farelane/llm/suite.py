@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, bwt, contamination, packing, recompression, rollups, secrets, simhash, toxicity, vectors, warc, whitening
+from farelane.llm import bpe, bwt, contamination, lexical, packing, recompression, rollups, secrets, simhash, toxicity, vectors, warc, whitening
 from farelane.staging import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op11_whitening(spark, folder):
 @query
 def op12_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op13_lexical(spark, folder):
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
