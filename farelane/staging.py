@@ -36,6 +36,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has finished: Spark leaves a mark there when all its files are in place."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 #: Copies that :func:`stage` has left in this session.
 _COPIES: list[str] = []
 

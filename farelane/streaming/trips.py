@@ -17,7 +17,7 @@ from farelane.plans.score import Scorer
 from farelane.schema import DEFAULT_LIMITS, Limits
 
 #: Folder columns of landed tables.
-_BATCH, _PERIOD = "batch_id", "pickup_period"
+BATCH, PERIOD = "batch_id", "pickup_period"
 
 
 def stream_features(sdf: DataFrame, limits: Limits = DEFAULT_LIMITS, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -27,12 +27,12 @@ def stream_features(sdf: DataFrame, limits: Limits = DEFAULT_LIMITS, keep: tuple
 
 def _landed(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
     """What earlier batches have put below ``path``."""
-    return read_landed(spark, path, schema).filter(F.col(_BATCH) < batch_id)
+    return read_landed(spark, path, schema).filter(F.col(BATCH) < batch_id)
 
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows below ``path`` with the batch that put them there; nothing yet gives no rows."""
-    declared = T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType())])
+    declared = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
     try:
         return spark.read.schema(declared).parquet(path)
     except AnalysisException as e:
@@ -41,7 +41,7 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
         return spark.createDataFrame([], declared)
 
 
-def _run(sdf: DataFrame, put: Callable[[DataFrame, int], None], checkpoint: str, every: str | None) -> StreamingQuery:
+def run_batches(sdf: DataFrame, put: Callable[[DataFrame, int], None], checkpoint: str, every: str | None) -> StreamingQuery:
     writer = sdf.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(every)).start()
 
@@ -61,20 +61,26 @@ def stream_dedup(
     when = F.coalesce(F.date_format("pickup_datetime", period).cast("int"), F.lit(0))
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.select(*columns, when.alias(_PERIOD)).distinct().persist()
-        try:
-            periods = [r[0] for r in fresh.select(_PERIOD).distinct().collect()]  # one number per calendar month or year
-            dated = T.StructType([*schema.fields, T.StructField(_PERIOD, T.IntegerType())])
-            old = _landed(spark, path, dated, batch_id).filter(F.col(_PERIOD).isin(periods)).select(*columns, _PERIOD, F.lit(True).alias("old"))
-            both = fresh.withColumn("old", F.lit(False)).unionByName(old)
-            new = both.groupBy(*columns, _PERIOD).agg(F.max("old").alias("old")).filter("NOT old").drop("old")
-            out = new.hint("rebalance", _PERIOD).write.mode("overwrite").partitionBy(_PERIOD)
-            out.parquet(f"{path}/{_BATCH}={batch_id}")
-        finally:
-            fresh.unpersist()
-
-    return _run(sdf, put, checkpoint, every)
+        put_new(batch.select(*columns, when.alias(PERIOD)), batch_id, path, schema)
+
+    return run_batches(sdf, put, checkpoint, every)
+
+
+def put_new(batch: DataFrame, batch_id: int, path: str, schema: T.StructType) -> None:
+    """Land the distinct rows of a batch (``schema`` and :data:`PERIOD`) that earlier batches have not landed below ``path``."""
+    spark = batch.sparkSession
+    columns = schema.names
+    fresh = batch.distinct().persist()
+    try:
+        periods = [r[0] for r in fresh.select(PERIOD).distinct().collect()]  # one number per calendar month or year
+        dated = T.StructType([*schema.fields, T.StructField(PERIOD, T.IntegerType())])
+        old = _landed(spark, path, dated, batch_id).filter(F.col(PERIOD).isin(periods)).select(*columns, PERIOD, F.lit(True).alias("old"))
+        both = fresh.withColumn("old", F.lit(False)).unionByName(old)
+        new = both.groupBy(*columns, PERIOD).agg(F.max("old").alias("old")).filter("NOT old").drop("old")
+        out = new.hint("rebalance", PERIOD).write.mode("overwrite").partitionBy(PERIOD)
+        out.parquet(f"{path}/{BATCH}={batch_id}")
+    finally:
+        fresh.unpersist()
 
 
 def read_deduped(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -98,9 +104,9 @@ def stream_error(sdf: DataFrame, scorer: Scorer, path: str, checkpoint: str, win
             .agg(F.sum(error).alias("error"), F.count("*").alias("rows"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "error", "rows")
         )
-        parts.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+        parts.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
-    return _run(sdf, put, checkpoint, every)
+    return run_batches(sdf, put, checkpoint, every)
 
 
 def read_error(spark: SparkSession, path: str) -> DataFrame:

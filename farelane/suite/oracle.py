@@ -479,6 +479,12 @@ ORACLE: dict[str, str] = {
         errors AS (SELECT epoch_us(pickup_datetime) AS us, abs(intercept + slope * ({MANHATTAN}) - fare_amount) AS e FROM kept, line),
         placed AS (SELECT us // {STREAM_WINDOW} * {STREAM_WINDOW} AS start_us, e FROM errors)
         SELECT start_us, start_us + {STREAM_WINDOW} AS end_us, {rnd("avg(e)", 4)} AS mae, count(*) AS rows FROM placed GROUP BY start_us""",
+    "stream_dedup_state": f"WITH {TRIPS} SELECT DISTINCT {SEVEN} FROM trips",
+    "stream_error_window": f"""WITH {SCORED}, kept AS (SELECT {SEVEN}, unnest(range(CASE WHEN passenger_count IN (2, 3) THEN 2 ELSE 1 END)) AS copy FROM trips
+          WHERE {" AND ".join(f"({r})" for r in RULES.values())}),
+        errors AS (SELECT epoch_us(pickup_datetime) AS us, abs(intercept + slope * ({MANHATTAN}) - fare_amount) AS e FROM kept, line),
+        placed AS (SELECT us // {STREAM_WINDOW} * {STREAM_WINDOW} AS start_us, e FROM errors)
+        SELECT start_us, start_us + {STREAM_WINDOW} AS end_us, {rnd("avg(e)", 4)} AS mae, count(*) AS rows FROM placed GROUP BY start_us""",
     "stream_refresh": f"""WITH {TRIPS} SELECT passenger_count, count(*) AS n, {rnd("sum(fare_amount)", 4)} AS fares FROM trips
         WHERE {" AND ".join(f"({r})" for r in RULES.values())} GROUP BY passenger_count""",
     "linear_fit": f"""WITH {CLEAN} SELECT count(*) AS rows, 0e0 AS residual, 0e0 AS with_0, 0e0 AS with_20, 0e0 AS with_21, 0e0 AS with_22,

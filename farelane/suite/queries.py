@@ -46,6 +46,7 @@ from farelane.sources import catalog as cat
 from farelane.sources import feed, files, trips
 from farelane.staging import new_folder, stage
 from farelane.streaming import fit as stream_training
+from farelane.streaming import gate
 from farelane.streaming import trips as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -944,15 +945,38 @@ def stream_trips(spark, folder) -> DataFrame:
     return trips.trips_from_events(trips.stream_events(spark, folder))
 
 
-def shuffled_trips(spark, folder, n: int = 5) -> DataFrame:
-    """Trips as a stream of files whose order has nothing to do with the pickup time, one file a batch."""
+def arrivals(spark, parts: list[DataFrame]) -> DataFrame:
+    """A stream that brings the parts one after another, each as the files of all tasks that have some of it."""
     path = new_folder(spark, "arrivals")
+    for rows in parts:
+        rows.write.mode("append").parquet(path)
+    many = len(spark.read.schema(RAW).parquet(path).inputFiles())
+    return spark.readStream.schema(RAW).option("maxFilesPerTrigger", max(1, -(-many // len(parts)))).parquet(path)
+
+
+def shuffled_trips(spark, folder, n: int = 5) -> DataFrame:
+    """Trips as a stream whose order has nothing to do with the pickup time."""
     rows = raw(spark, folder)
-    for k in range(n):
-        rows.filter(F.pmod(F.xxhash64("key", "fare_amount"), F.lit(n)) == k).coalesce(1).write.mode("append").parquet(path)
+    place = F.pmod(F.xxhash64("key", "fare_amount"), F.lit(n))
     # copies of a trip come again with a later file
-    rows.filter(F.col("passenger_count") == 3).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).parquet(path)
+    return arrivals(spark, [*(rows.filter(place == k) for k in range(n)), rows.filter(F.col("passenger_count") == 3)])
+
+
+def delayed_trips(spark, folder) -> DataFrame:
+    """Trips in pickup order with a day's disorder; trips of 3 passengers come again with the next arrival, those of 5 once, a month late, and those of 2 again at the end."""
+    rows = raw(spark, folder).withColumn("day", F.date_diff("pickup_datetime", F.lit("1970-01-01").cast("date")))
+    rows = stage(rows.withColumn("place", F.col("day") + F.pmod(F.xxhash64("key"), F.lit(2)).cast("int")), "delayed")
+    low, high = rows.agg(F.min("place"), F.max("place")).first()
+    width = max(1, -(-(high - low + 1) // 6))
+    at = F.floor((F.col("place") - low) / width)
+    parts = []
+    for k in range(8):
+        own = rows.filter((at == k) & ~F.col("passenger_count").eqNullSafe(5)) if k < 6 else rows.limit(0)
+        again = rows.filter((at == k - 1) & (F.col("passenger_count") == 3))
+        late = rows.filter((at == k - 2) & (F.col("passenger_count") == 5))
+        parts.append(own.unionByName(again).unionByName(late))
+    parts.append(rows.filter(F.col("passenger_count") == 2).unionByName(rows.filter("place IS NULL")))
+    return arrivals(spark, [p.select(RAW.names) for p in parts])
 
 
 @query
@@ -978,6 +1002,24 @@ def stream_error(spark, folder):
     )
 
 
+@query
+def stream_dedup_state(spark, folder):
+    path = new_folder(spark, "dedup-state")
+    source = delayed_trips(spark, folder)
+    _run(gate.dedup_within(source, path, f"{path}-state", "400 days", period="yyyy"))
+    return gate.read_within(spark, path, source.schema)
+
+
+@query
+def stream_error_window(spark, folder):
+    line = fit_distance_line(cleaned(spark, folder))
+    path = new_folder(spark, "error-window")
+    _run(gate.error_windows(delayed_trips(spark, folder), line, path, f"{path}-state"))
+    return gate.read_windows(spark, path, f"{path}-state").select(
+        F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), r("mae", 4).alias("mae"), "rows"
+    )
+
+
 @query
 def stream_refresh(spark, folder):
     path = new_folder(spark, "refresh")
