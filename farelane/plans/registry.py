@@ -1,4 +1,8 @@
-"""Run log and model store: two append-only tables below a root folder."""
+"""Run log and model store: two append-only tables below a root folder.
+
+Every append is a folder of its own, so writers at the same time don't meet in Spark's
+temporary folder.
+"""
 
 from __future__ import annotations
 
@@ -11,13 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from farelane.schema import MODELS, RUNS
+from farelane.staging import create_new
 
 STAGES = ("None", "Production", "Staging", "Archived")
 
 
 def append_runs(runs: DataFrame, root: str) -> None:
     """Append run rows to the log."""
-    runs.select(*RUNS.names).write.mode("append").parquet(f"{root}/runs")
+    runs.select(*RUNS.names).write.parquet(f"{root}/runs/{uuid.uuid4().hex}")
 
 
 def log_run(
@@ -40,7 +45,7 @@ def log_run(
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -97,7 +102,7 @@ def batch_version(models: DataFrame, name: str, batch_id: int) -> int | None:
 def _append_model(spark: SparkSession, root: str, row: tuple) -> None:
     """``row``: name, version, stage, kind, path, batch_id, seq."""
     rows = spark.createDataFrame([row], "name string, version int, stage string, kind string, path string, batch_id long, seq int")
-    rows.withColumn("ts", F.current_timestamp()).select(*MODELS.names).write.mode("append").parquet(f"{root}/models")
+    rows.withColumn("ts", F.current_timestamp()).select(*MODELS.names).write.parquet(f"{root}/models/{uuid.uuid4().hex}")
 
 
 def save_model(
@@ -106,11 +111,14 @@ def save_model(
     """Store a model as the next version; ``model`` offers ``save(path)``.
 
     A new version is in no stage until :func:`promote` gives it one. ``batch_id`` names
-    the micro-batch it comes from, in the same row.
+    the micro-batch it comes from, in the same row. The number is claimed before the model is
+    written, so savers at the same time get different ones; a claim whose saver dies leaves a gap.
     """
     _checked(stage)
     known = read_models(spark, root).filter(F.col("name") == name).agg(F.max("version")).first()[0]
     version = (known or 0) + 1
+    while not create_new(spark, f"{root}/claims/{name}/{version:06d}"):
+        version += 1
     path = f"{root}/artifacts/{name}/{version:06d}-{time.strftime('%Y%m%d-%H%M%S')}"
     model.save(path)
     _append_model(spark, root, (name, version, stage, kind, path, batch_id, 0))

@@ -6,6 +6,7 @@ none, a folder below the warehouse, which all executors share as well.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -42,6 +43,52 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
+def _on(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def create_new(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Put a small file in place with its whole content, unless there is one already; says whether it did.
+
+    Of several writers exactly one succeeds: on local and mounted folders by a hard
+    link, elsewhere by a rename, which must refuse an existing target, as HDFS does.
+    """
+    target, fs = _on(spark, path)
+    fs.mkdirs(target.getParent())
+    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if fs.getScheme() != "file":
+            return not fs.exists(target) and fs.rename(draft, target)
+        try:
+            os.link(draft.toUri().getPath(), target.toUri().getPath())
+        except FileExistsError:
+            return False
+        return True
+    finally:
+        fs.delete(draft, False)
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The content of a file made by :func:`create_new`."""
+    target, fs = _on(spark, path)
+    source = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, sorted; none if there is no such folder. Hidden drafts are left out."""
+    target, fs = _on(spark, path)
+    found = [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+    return sorted(n for n in found if not n.startswith("."))
+
+
 #: Copies that :func:`stage` has left in this session.
 _COPIES: list[str] = []
 

@@ -322,6 +322,17 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT split || '_processed_100k', 'processed', count(*), NULL, NULL FROM split_clean GROUP BY split""",
     "monthly_feed": f"""WITH {SPLIT} SELECT split, ['jan', 'feb', 'mar', 'apr', 'may', 'jun'][month(pickup_datetime)] AS month, count(*) AS rows
         FROM sets WHERE month(pickup_datetime) <= 6 GROUP BY ALL""",
+    "feed_commit": f"""WITH {SPLIT} SELECT CAST(month(pickup_datetime) AS INTEGER) AS version, split,
+        ['jan', 'feb', 'mar', 'apr', 'may', 'jun'][month(pickup_datetime)] AS month, count(*) AS rows, {rnd("sum(fare_amount)", 4)} AS fares
+        FROM sets WHERE month(pickup_datetime) <= 6 GROUP BY ALL""",
+    "quarantine": f"""WITH {TRIPS}, lines AS (SELECT CASE
+          WHEN CAST(key AS BIGINT) % 97 = 1 THEN key || ',11.5,2013-07-06 17:18:00 UTC'
+          WHEN CAST(key AS BIGINT) % 89 = 2 THEN key || ',11.5,2013-07-06 17:18:00 UTC,-73.9,40.7,-73.9,40.7,1,more'
+          WHEN CAST(key AS BIGINT) % 83 = 3 THEN key || ',eleven,2013-07-06 17:18:00 UTC,-73.9,40.7,west,40.7,1'
+          WHEN CAST(key AS BIGINT) % 211 = 9 THEN key || ',11.5,not a time,-73.9,40.7,-73.9,40.7,1' ELSE '' END AS line FROM trips)
+        SELECT line, CASE WHEN line = '' THEN 'sound' WHEN line LIKE '%UTC' THEN 'short' WHEN line LIKE '%more' THEN 'long' ELSE 'unreadable' END AS reason,
+          CASE WHEN line LIKE '%west%' THEN 'fare_amount,dropoff_longitude' WHEN line LIKE '%not a time%' THEN 'pickup_datetime' ELSE '' END AS fields,
+          count(*) AS n FROM lines GROUP BY line""",
     "drop_key": f"WITH {TRIPS} SELECT {SEVEN} FROM trips",
     "drop_duplicates": f"WITH {TRIPS} SELECT DISTINCT {SEVEN} FROM trips",
     "drop_missing": rule("missing"),

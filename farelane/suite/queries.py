@@ -44,6 +44,7 @@ from farelane.plans.score import fit_distance_line, ml_scorer, score, score_requ
 from farelane.schema import CELLS_20, FEATURE_COLUMNS, MONTHS, RAW, RAW_TEXT, TARGET_COLUMN, WEEKDAYS
 from farelane.sources import catalog as cat
 from farelane.sources import feed, files, trips
+from farelane.sources import quarantine as bad
 from farelane.staging import new_folder, stage
 from farelane.streaming import fit as stream_training
 from farelane.streaming import gate
@@ -138,6 +139,26 @@ def schema_check(spark, folder):
     return files.unreadable_fields(spark.read.option("header", True).csv(path), RAW_TEXT)
 
 
+@query
+def quarantine(spark, folder):
+    """Malformed lines with their reasons, and one row that counts the sound ones."""
+    path, target = new_folder(spark, "lines"), new_folder(spark, "checked")
+    text = trips.trips_as_text(raw(spark, folder))
+    number = F.col("key").cast("long")
+    line = (
+        F.when(number % 97 == 1, F.concat("key", F.lit(",11.5,2013-07-06 17:18:00 UTC")))
+        .when(number % 89 == 2, F.concat("key", F.lit(",11.5,2013-07-06 17:18:00 UTC,-73.9,40.7,-73.9,40.7,1,more")))
+        .when(number % 83 == 3, F.concat("key", F.lit(",eleven,2013-07-06 17:18:00 UTC,-73.9,40.7,west,40.7,1")))
+        .when(number % 211 == 9, F.concat("key", F.lit(",11.5,not a time,-73.9,40.7,-73.9,40.7,1")))
+        .otherwise(F.to_csv(F.struct(*RAW.names)))
+    )
+    text.select(line.alias("value")).write.text(path)
+    bad.ingest_checked(spark, path, target)
+    sound = bad.read_sound(spark, target).agg(F.lit("").alias("line"), F.lit("sound").alias("reason"), F.lit("").alias("fields"), F.count("*").alias("n"))
+    lines = bad.read_quarantined(spark, target).groupBy("line", "reason", F.coalesce("fields", F.lit("")).alias("fields")).agg(F.count("*").alias("n"))
+    return lines.unionByName(sound)
+
+
 @query
 def csv_sink(spark, folder):
     path = new_folder(spark, "sink")
@@ -241,6 +262,27 @@ def monthly_feed(spark, folder):
     return reduce(DataFrame.unionByName, loads)
 
 
+@query
+def feed_commit(spark, folder):
+    """Six months committed to one store, and each read again from its version."""
+    root, store = new_folder(spark, "feed"), new_folder(spark, "feed-store")
+    split = F.when(F.col("key").cast("long") * 7919 % 100 >= 30, "train").otherwise("val")
+    labelled = raw(spark, folder).withColumns({"split": split, "month": F.month("pickup_datetime")})
+    parted = stage(labelled, "months", ["split", "month"])
+    versions_ = []
+    for i, month in enumerate(feed.FEED_MONTHS, start=1):
+        for part in cat.SPLITS:
+            rows = parted.filter((F.col("split") == part) & (F.col("month") == i)).drop("split", "month")
+            files.write_dataset(rows, f"{root}/{part}_{month}")
+        versions_.append(feed.commit_month(spark, root, store, month, "parquet"))
+    read = [
+        feed.read_feed(spark, store, part, v).groupBy("month").agg(F.count("*").alias("rows"), r(F.sum("fare_amount"), 4).alias("fares"))
+        .select(F.lit(v).cast("int").alias("version"), F.lit(part).alias("split"), "month", "rows", "fares")
+        for v in versions_ for part in cat.SPLITS
+    ]
+    return reduce(DataFrame.unionByName, read)
+
+
 # ---------------------------------------------------------------- cleaning
 
 
