@@ -76,3 +76,25 @@ def slices(batch: pa.RecordBatch, limit: int = CHUNK) -> Iterator[pa.RecordBatch
 
 def pack(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, values: dict[str, str]) -> DataFrame:
+    """``rows`` with the ``values`` (name in ``classes`` -> new name) of each row's class, null where it has none.
+
+    ``classes`` has one row per ``key`` and in ``size`` how many rows have it. A class of more than a fair share of
+    the rows is met in a broadcast, and there are at most four times as many of these as partitions;
+    its rows are dealt evenly, so no task holds a whole large class. ``rows`` must come in a fixed
+    order from a scan or a checkpoint, so that a lost task deals them alike.
+    """
+    classes, many = cut(classes), 4 * partitions(rows.sparkSession)
+    share = (classes.agg(F.sum(size)).first()[0] or 0) / many
+    held = F.struct(*(F.col(a).alias(b) for a, b in values.items()))
+    large = classes.filter(F.col(size) > share).select(F.col(key).alias("__large_key"), held.alias("__large"))
+    none = F.pmod(F.col(size), F.lit(1)).cast("int")  # 0, but no literal: a literal would be no key of the join
+    small = classes.filter(F.col(size) <= share).select(F.col(key).alias("__small_key"), none.alias("__none"), held.alias("__small"))
+    met = rows.join(F.broadcast(large), F.col(key) == F.col("__large_key"), "left")
+    deal = F.when(F.col("__large").isNull(), 0).otherwise(1 + F.pmod(F.monotonically_increasing_id(), F.lit(64 * many)).cast("int"))
+    met = met.withColumn("__deal", deal)
+    met = met.join(small, (F.col(key) == F.col("__small_key")) & (F.col("__deal") == F.col("__none")), "left")
+    found = [F.coalesce(F.col(f"__large.{b}"), F.col(f"__small.{b}")).alias(b) for b in values.values()]
+    return met.select(*rows.columns, *found)

@@ -11,12 +11,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm.shared import cut, partitions
+from farelane.llm.shared import cut, join_classes, partitions
 
 #: Payloads below this many bytes are stored each time.
 LEAST = 100
 #: Records of an archive at most; one archive is one sorted run, and is read whole by one task.
 RECORDS = 2000
+#: Payloads of this many bytes or more go to archives of their own, ...
+BIG = 128 << 10
+#: ... of about so many bytes, or of one record, so that no archive is larger than this or ``RECORDS * BIG``.
+ARCHIVE = 256 << 20
+#: Rows of a range of the index that one task merges.
+RANGE = 200_000
 CRLF = "\r\n"
 
 
@@ -38,23 +44,23 @@ def _field(name: str, value: Column) -> Column:
 
 
 def records(pages: DataFrame, id_col: str, url_col: str, text_col: str, time_col: str) -> DataFrame:
-    """``(key, time, id, record)``: the text of a WARC record for every row.
+    """``(key, date, tie, size, record)``: the text of a WARC record for every row.
 
     Of records with equal payloads of :data:`LEAST` bytes or more the one with the
-    smallest id is a response; the others revisit it and hold no payload.
+    smallest id is a response; the others revisit it and hold no payload. Key, date and
+    tie are made from what the header holds: the escaped URL, the second and the id.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    url = F.col(url_col).cast("string")
+    for sign, code in ((" ", "%20"), ("\t", "%09"), ("\r", "%0D"), ("\n", "%0A")):
+        url = F.replace(url, F.lit(sign), F.lit(code))
+    time = F.coalesce(F.col(time_col).cast("timestamp_ntz"), F.lit("1970-01-01").cast("timestamp_ntz"))
     base = pages.select(
-        F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), text.alias("text"),
-        F.coalesce(F.col(time_col).cast("timestamp_ntz"), F.lit("1970-01-01").cast("timestamp_ntz")).alias("time"),
+        F.col(id_col).cast("long").alias("id"), url.alias("url"), text.alias("text"), F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
     ).withColumns({"size": F.octet_length("text").cast("long"), "digest": F.sha2(F.col("text").cast("binary"), 256)})
-    first = base.select("id", "size", "digest").filter(F.col("size") >= LEAST).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    first = first.filter("n > 1 AND first IS NOT NULL").select(F.col("digest").alias("same"), "first")
-    named = base.join(first, F.col("digest") == F.col("same"), "left")
+    first = base.select("id", "size", "digest").filter(F.col("size") >= LEAST).groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    named = join_classes(base, first.filter("n > 1 AND least IS NOT NULL"), "digest", "n", {"least": "first"})
     again = F.coalesce(~F.col("id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False))
-    safe = F.col("url")
-    for sign, code in ((" ", "%20"), ("\t", "%09"), ("\r", "%0D"), ("\n", "%0A")):
-        safe = F.replace(safe, F.lit(sign), F.lit(code))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("size").cast("string"), F.lit(CRLF * 2)
@@ -65,27 +71,42 @@ def records(pages: DataFrame, id_col: str, url_col: str, text_col: str, time_col
         F.lit("WARC/1.1"),
         _field("WARC-Type", F.when(again, "revisit").otherwise("response")),
         _field("WARC-Record-ID", name(F.col("id"))),
-        _field("WARC-Date", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-        _field("WARC-Target-URI", safe),
+        _field("WARC-Date", F.col("date")),
+        _field("WARC-Target-URI", F.col("url")),
         _field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         only(F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         only(_field("WARC-Refers-To", name(F.col("first")))),
         F.lit("Content-Type: application/http; msgtype=response"),
         _field("Content-Length", F.octet_length(block).cast("string")),
     )
-    return named.select(url_key(F.col("url")).alias("key"), "time", "id", F.concat(head, block).alias("record"))
+    return named.select(url_key(F.col("url")).alias("key"), "date", _tie().alias("tie"), "size", F.concat(head, block).alias("record"))
+
+
+def _tie() -> Column:
+    """Order of records of one URL and second: by id, those without one first."""
+    return F.coalesce("id", F.lit(-(1 << 63)))
 
 
 def write_archives(
     pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", text_col: str = "html", time_col: str = "time", most: int = RECORDS,
 ) -> None:
-    """Gzipped WARC 1.1 files below ``path``, each sorted by URL key and time.
+    """Gzipped WARC 1.1 files below ``path``, each sorted by URL key, second and id.
 
     The record text is written as it is; the two line ends that close a record are
-    the separator of the text writer, so any file system that Spark writes to will do.
+    the separator of the text writer, so any file system that Spark writes to will do. Pages of
+    :data:`BIG` bytes or more are written apart, fewer to an archive.
     """
-    made = records(pages, id_col, url_col, text_col, time_col).sortWithinPartitions("key", "time", "id")
-    made.select("record").write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", most).text(path, compression="gzip")
+    made = records(pages, id_col, url_col, text_col, time_col)
+    size = F.octet_length(F.col(text_col).cast("string")).cast("long")
+    largest = pages.agg(F.max(size)).first()[0] or 0
+
+    def write(rows: DataFrame, most: int) -> None:
+        out = rows.sortWithinPartitions("key", "date", "tie").select("record").write.mode("append")
+        out.option("lineSep", CRLF * 2).option("maxRecordsPerFile", most).text(path, compression="gzip")
+
+    write(made.filter(F.col("size") < BIG), most)
+    if largest >= BIG:
+        write(made.filter(F.col("size") >= BIG), max(1, min(most, ARCHIVE // largest)))
 
 
 def parse(data: bytes) -> Iterator[tuple]:
@@ -202,8 +223,9 @@ def histories(index: DataFrame) -> DataFrame:
     The sorted runs are cut at common bounds (a hot URL is cut by time and id, too),
     and each range is one task's loser-tree merge of its pieces of all runs.
     """
-    keyed = cut(index.withColumns({"key": url_key(F.col("url")), "tie": F.coalesce("id", F.lit(-(1 << 63)))}))
-    ranged = keyed.repartitionByRange(partitions(index.sparkSession), "key", "date", "tie")
+    keyed = cut(index.withColumns({"key": url_key(F.col("url")), "tie": _tie()}))
+    ranges = max(partitions(index.sparkSession), -(-keyed.count() // RANGE))
+    ranged = keyed.repartitionByRange(ranges, "key", "date", "tie")
     return ranged.mapInArrow(_merge, ranged.schema).drop("tie")
 
 
