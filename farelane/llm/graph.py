@@ -42,7 +42,8 @@ def _step(edges: DataFrame, both: bool) -> DataFrame:
         seen = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         seen = edges
-    least = seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).select(F.col("u").alias("c"), "m")
+    # kept apart from the join: an aggregate in the same stage would bind a node's links to one task
+    least = cut(seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).select(F.col("u").alias("c"), "m"))
     at = seen.join(least, F.col("u") == F.col("c"))
     if both:
         moved = at.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

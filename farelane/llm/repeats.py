@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelane.llm.shared import pack, partitions
+from farelane.llm.shared import join_classes, pack, partitions
 
 #: Length of a window, in units of the method.
 WINDOW = 50
@@ -483,9 +483,10 @@ def earlier_passages(docs: DataFrame, method: Method, empty: str, id_col: str =
     done = texts.groupBy("bucket").cogroup(told.repartition(p, "bucket").groupBy("bucket")).applyInArrow(
         _finish(method), "digest string, n long, n_removed long, n_spans long, kept string, whole string"
     )
-    least = base.groupBy("digest").agg(F.min("least").alias("first")).withColumnRenamed("digest", "d0")
-    classes = done.join(least, F.col("digest") == F.col("d0")).select(F.col("digest").alias("d1"), "first", "n", "n_removed", "n_spans", "kept", "whole")
-    rows = base.select(F.col("least").alias("id"), "digest").join(classes, F.col("digest") == F.col("d1"))
+    least = base.groupBy("digest").agg(F.min("least").alias("first"), F.count("*").alias("size")).withColumnRenamed("digest", "d0")
+    classes = done.join(least, F.col("digest") == F.col("d0"))
+    names = ("first", "n", "n_removed", "n_spans", "kept", "whole")
+    rows = join_classes(base.select(F.col("least").alias("id"), "digest"), classes, "digest", "size", {n: n for n in names})
     none, copy, enough = F.col("id").isNull(), F.col("id") > F.col("first"), F.col("n") >= WINDOW
     pick = lambda lost, own, full: F.when(none, full).when(copy & enough, lost).when(copy, full).otherwise(own)
     return rows.select(

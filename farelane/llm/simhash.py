@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
 from farelane.llm.graph import Forest, components
-from farelane.llm.shared import batches, cut, utf8
+from farelane.llm.shared import batches, cut, join_classes, utf8
 
 BITS = 64
 #: Differing bits of a link.
@@ -223,21 +223,21 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty table gives no rows.
     """
     rows = cut(fingerprints(docs, id_col, text_col, size).select(F.col(id_col).alias("i"), "fp"))
-    return rows.join(_named(rows), F.col("fp") == F.col("p")).select(
+    return join_classes(rows, _named(rows), "fp", "n", {"component_id": "component_id"}).select(
         F.col("i").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def _named(rows: DataFrame) -> DataFrame:
-    """``rows(i, fp)`` -> ``(p, root, component_id)``: the class of each fingerprint, and its smallest id.
+    """``rows(i, fp)`` -> ``(fp, n, root, component_id)``: the class of each fingerprint, and its smallest id; n rows have the fingerprint.
 
     Ids may repeat, so two classes can have one smallest id; ``root`` tells them apart.
     """
-    prints = rows.groupBy("fp").agg(F.min("i").alias("least"))
+    prints = rows.groupBy("fp").agg(F.min("i").alias("least"), F.count("*").alias("n"))
     found = components(links(prints.select("fp")))
-    by_print = prints.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    by_root = by_print.groupBy("root").agg(F.min("least").alias("component_id"))
-    return by_print.join(by_root, "root").select(F.col("fp").alias("p"), "root", "component_id")
+    by_print = cut(prints.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")))
+    by_root = by_print.groupBy("root").agg(F.min("least").alias("least"), F.count("*").alias("n"))
+    return join_classes(by_print, by_root, "root", "n", {"least": "component_id"}).select("fp", "n", "root", "component_id")
 
 
 def surplus(docs: DataFrame, mark: Column, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
@@ -249,8 +249,9 @@ def surplus(docs: DataFrame, mark: Column, id_col: str = "doc_id", text_col: str
     them stays. Rows without an id are not listed.
     """
     rows = cut(_marked(docs, id_col, text_col, size, mark))
-    named = rows.join(_named(rows.select("i", "fp")), F.col("fp") == F.col("p")).filter("i IS NOT NULL")
+    named = join_classes(rows, _named(rows.select("i", "fp")), "fp", "n", {"root": "root", "component_id": "component_id"}).filter("i IS NOT NULL")
     each = cut(named.groupBy("root", "component_id", "i", "mark").agg(F.count("*").alias("n")))
-    least = each.filter("i = component_id").groupBy("root").agg(F.min("mark").alias("least")).withColumnRenamed("root", "r")
+    least = each.groupBy("root").agg(F.min(F.when(F.col("i") == F.col("component_id"), F.col("mark"))).alias("least"), F.count("*").alias("size"))
+    judged = join_classes(each, least, "root", "size", {"least": "least"})
     first = (F.col("i") == F.col("component_id")) & (F.col("mark") == F.col("least"))
-    return each.join(least, F.col("root") == F.col("r")).select("i", "mark", first.alias("first"), "n").filter("NOT first OR n > 1").select("i", "mark", "first")
+    return judged.select("i", "mark", first.alias("first"), "n").filter("NOT first OR n > 1").select("i", "mark", "first")

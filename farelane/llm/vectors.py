@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelane.llm.graph import Forest, components
-from farelane.llm.shared import cut
+from farelane.llm.shared import cut, join_classes
 
 #: Distinct vectors of a slice; a tile is the product of two slices of one label.
 SLICE = 2048
@@ -29,6 +29,12 @@ def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return code, scale, np.linalg.norm(shown, axis=1) * slack, np.linalg.norm(unit - shown, axis=1) * slack + 1e-15
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors over powers of two that bring their largest entries between one half and one, so that no square is lost."""
+    _, power = np.frexp(np.abs(vectors).max(axis=1))
+    return np.ldexp(vectors, -power[:, None])
+
+
 def tile_links(a: np.ndarray, b: np.ndarray | None, threshold: float):
     """Pairs (i, j) of rows of ``a`` and ``b`` (of ``a`` alone, i < j, if ``b`` is None) with cosine >= threshold.
 
@@ -37,6 +43,7 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, threshold: float):
     bound leaves open are computed again in double precision.
     """
     alone = b is None
+    a, b = _scaled(a), b if alone else _scaled(b)
     norm_a = np.linalg.norm(a, axis=1)
     p, s, len_a, err_a = quantised(a / norm_a[:, None])
     if alone:
@@ -125,10 +132,12 @@ def near_vectors(
     roots = components(found.filter("c <> root").select(F.col("c").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("c").agg(F.sum("links").alias("links")).withColumnRenamed("c", "k")
     named = classes.select("h", "g", "c", "least", "size").join(roots, F.col("c") == F.col("node"), "left").join(links, F.col("c") == F.col("k"), "left")
-    named = named.select("h", "g", "least", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n"), F.coalesce("root", "c").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = named.join(least, "root").select(F.col("h").alias("h2"), F.col("g").alias("g2"), "n", "component")
-    joined = base.select("i", "h", "g", "sound").join(named, F.col("sound") & (F.col("h") == F.col("h2")) & (F.col("g") == F.col("g2")), "left")
+    copy = F.struct("h", "g")
+    named = cut(named.select(copy.alias("copy"), "least", "size", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n"), F.coalesce("root", "c").alias("root")))
+    least = named.groupBy("root").agg(F.min("least").alias("first"), F.count("*").alias("many"))
+    named = join_classes(named, least, "root", "many", {"first": "component"})
+    base = base.select("i", "sound", F.when(F.col("sound"), copy).alias("copy"))
+    joined = join_classes(base, named.select("copy", "size", "n", "component"), "copy", "size", {"n": "n", "component": "component"})
     component = F.when(F.col("sound"), F.col("component")).otherwise(F.col("i"))
     return joined.select(
         F.col("i").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

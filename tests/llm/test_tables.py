@@ -173,3 +173,11 @@ def test_counts_of_a_real_tokenizer(spark):
     rollups.commit(rollups.changes("insert", rollups.counted(rows, {"byte_bpe_50k": F.col("n_tokens")})), path, 1)
     got = rollups.totals(spark, path).first()
     assert (got.docs, got.tokens) == tuple(rows.agg(F.count("*"), F.sum("n_tokens")).first())
+
+
+def test_lengths_beyond_doubles_link_by_direction(spark):
+    tiny = 5e-324
+    rows = [(1, [1e200, 1e200], 1), (2, [2e200, 2e200], 1), (3, [1e-200, 1e-200], 1), (4, [tiny, tiny], 1), (5, [1.0, 1.0], 1), (6, [1e200, -1e200], 1), (7, [1e308, 1e-308], 1), (8, [1.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
+    assert got == {**{k: (4, 1) for k in (1, 2, 3, 4, 5)}, 6: (0, 6), 7: (1, 7), 8: (1, 7)}
