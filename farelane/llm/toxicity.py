@@ -22,15 +22,15 @@ class Spec:
 
     ``sample``: labelled rows a fit learns from, at most about so many, taken by a
     hash of the id; scoring and all else covers every row. ``shards``: independent
-    learners, averaged. ``bits``: width of the feature hash, 32 at most. ``alpha`` and ``beta``
-    set the per-coordinate rates, ``l1`` and ``l2`` the penalties. ``aside``: of so many
-    rows, a shard holds one back to place the border between the labels.
+    learners, averaged; one task each. ``bits``: width of the feature hash, 32 at most. ``alpha`` and ``beta``
+    set the per-coordinate rates, ``l1`` and ``l2`` the penalties; ``l1`` holds for a full
+    sample and falls with the root of the rows learnt from. All of this is one rule at
+    every size.
     """
 
     sample: int = 16_000
-    shards: int = 2
+    shards: int = 1
     epochs: int = 3
-    aside: int = 4
     bits: int = 32
     alpha: float = 2.0
     beta: float = 1.0
@@ -98,23 +98,8 @@ class ToxicModel:
         return 1.0 / (1.0 + np.exp(-np.clip(total, -35, 35)))
 
 
-def border(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the gap at which F1 is best; 0 if a label is missing."""
-    if not 0 < labels.sum() < len(labels):
-        return 0.0
-    order = np.argsort(-logits, kind="stable")
-    logits, hits = logits[order], np.cumsum(labels[order])
-    ends = np.append(logits[1:] != logits[:-1], True)
-    f1 = np.where(ends, 2 * hits / (np.arange(1, len(hits) + 1) + labels.sum()), -1.0)
-    k = int(f1.argmax())
-    return float(logits[k] + logits[min(k + 1, len(logits) - 1)]) / 2
-
-
 def ftrl(rows: list[np.ndarray], labels: np.ndarray, spec: Spec, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """FTRL-proximal over one shard: ``(keys, weights, bias)`` of the non-zero weights.
-
-    The bias is moved so that one half is the best border (by F1) of the rows held back.
-    """
+    """FTRL-proximal over one shard: ``(keys, weights, bias)`` of the non-zero weights."""
     counts = np.fromiter(map(len, rows), np.int64, len(rows))
     keys, at = np.unique(np.concatenate(rows) if len(rows) else np.zeros(0, np.uint32), return_inverse=True)
     z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
@@ -124,9 +109,8 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, spec: Spec, seed: int) -> t
     l1[bias] = 0.0
     weight = lambda i: np.where(np.abs(z[i]) <= l1[i], 0.0, (np.sign(z[i]) * l1[i] - z[i]) / ((spec.beta + np.sqrt(n[i])) / spec.alpha + spec.l2))
     order = np.random.default_rng(seed)
-    held = np.arange(len(rows)) % spec.aside == 0 if len(rows) >= 10 * spec.aside else np.zeros(len(rows), bool)
     for _ in range(spec.epochs):
-        for r in order.permutation(np.flatnonzero(~held)):
+        for r in order.permutation(len(rows)):
             i = np.append(at[first[r] : first[r] + counts[r]], bias)
             w = weight(i)
             p = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35)))
@@ -135,7 +119,6 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, spec: Spec, seed: int) -> t
             z[i] += g - step * w
             n[i] += g * g
     w = weight(np.arange(len(keys) + 1))
-    w[bias] -= border(np.array([w[at[first[r] : first[r] + counts[r]]].sum() + w[bias] for r in np.flatnonzero(held)]), labels[held])
     use = np.flatnonzero(w[:bias])
     return keys[use].astype(np.uint64), w[use], float(w[bias])
 
@@ -149,8 +132,9 @@ def fit(
     Rows without a label (none, null) or id are not learnt from; an id with several
     labels counts as toxic when one says so. With no usable rows the model is a
     constant 0 score below one half. At most about ``spec.sample`` rows are learnt
-    from, whatever the size of the tables; each shard is one task, and the driver
-    receives non-zero weights only.
+    from, whatever the size of the tables; their ids and labels are broadcast, so texts are not
+    shuffled; each shard is one task, and the driver receives non-zero weights only. Very long texts give each feature once; columns beside
+    the three named ones are not read, whatever their names.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("i"), F.col(label_col).cast("int").alias("y"))
     marked = marked.filter("i IS NOT NULL AND y IS NOT NULL").groupBy("i").agg(F.max("y").alias("y"))
@@ -161,7 +145,7 @@ def fit(
         share = int(spec.sample / total * (1 << 32))
         marked = marked.filter(F.shiftrightunsigned(F.xxhash64("i"), 32) < share)
     source = docs.select(F.col(id_col).cast("long").alias("d"), utf8(text_col).alias("t"))
-    source = source.join(marked, F.col("d") == F.col("i")).select("d", "y", "t")
+    source = source.join(F.broadcast(marked), F.col("d") == F.col("i")).select("d", "y", "t")
 
     def extract(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = [pack(np.unique(features(words(words_of(t)), spec.bits)).astype(np.uint32)) for t in batch.column(2).to_pylist()]
@@ -169,7 +153,7 @@ def fit(
 
     words = Words()
     rows = source.mapInArrow(batches(extract), "d long, y int, f binary")
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("d", F.lit(1)), F.lit(spec.shards if total > spec.sample // 4 else 1)))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("d", F.lit(1)), F.lit(spec.shards)))
 
     def learn_shard(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("d", "ascending"), ("f", "ascending")])
@@ -192,7 +176,7 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
     """``(id_col, score, predicted)`` of every row from its whole text, in one pass.
 
     Null and empty texts score as the bias alone does; repeated rows score alike; an
-    empty table gives no rows.
+    empty table gives no rows. Very long texts are scored whole; extra columns are not read.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(F.col(id_col).cast("long").alias("i"), utf8(text_col).alias("t"))
