@@ -15,15 +15,17 @@ from pyspark.sql import functions as F
 
 from farelane.llm.shared import batches
 
-#: Kinds in the order in which equal starts are listed; the first three need no structure.
-KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "ssh")
+#: Kinds in the order in which equal starts are listed; the first three need no structure, the last is listed but no secret.
+KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "ssh_public")
+PUBLIC = ("ssh_public",)
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]*\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: A token begins where its alphabet does and gives no letter back, so each letter is read a few times at most.
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]*+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+")
 #: Between the markers: headers, base64, and line ends as such or escaped.
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[^-]++|-(?!----))*+)-----END \1-----")
 _HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
@@ -35,13 +37,13 @@ _BREAK = re.compile(r"[ \t]*(?:(?:[\r\n]|\\+[nr])[ \t]*)+")
 #: 127 bytes as MA to MH, with the tag behind, and longer ones (0x81 to 0x84) as MIE to MIT.
 _DER = re.compile(r"M(?:[A-H][AEIMQUYcgkosw048][Cw]|I[E-T])")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]+")
-#: Bytes of the shortest key; and those below which two integers are a signature.
-_LEAST, _PAIR = 21, 114
+#: Bytes of the shortest key.
+_LEAST = 21
 #: A marker of another kind than a private key's, right before a body.
 _PUBLIC = re.compile(r"-----BEGIN (?![A-Z0-9 ]*PRIVATE KEY-----)[A-Z0-9 ]+-----(?:\s|\\+[nr])*\Z")
 _HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}")
 #: A length of under 64 KB before a key's name: AAAA in base64.
-_SSH = re.compile(r"AAAA[A-Za-z0-9+/]{40,}={0,2}")
+_SSH = re.compile(r"(?<![A-Za-z0-9+/])AAAA[A-Za-z0-9+/]{40,}+={0,2}")
 
 Span = tuple[str, int, int]
 
@@ -71,18 +73,51 @@ def der_length(data: bytes, at: int = 0) -> tuple[int, int, int] | None:
     return (tag, start, start + size) if start + size <= len(data) else None
 
 
+#: Tags of DER elements.
+_INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
+
+
+def _elements(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
+    """The elements that fill ``data[start:end]`` exactly, or None."""
+    found = []
+    while start < end:
+        element = der_length(data[:end], start)
+        if element is None:
+            return None
+        found.append(element)
+        start = element[2]
+    return found
+
+
+def _names_algorithm(data: bytes, element: tuple[int, int, int]) -> bool:
+    """A sequence that begins with an object identifier."""
+    inner = der_length(data, element[1]) if element[0] == _SEQUENCE else None
+    return inner is not None and inner[0] == _OID and inner[2] <= element[2]
+
+
 def is_der_key(data: bytes | None) -> bool:
-    """A sequence that fills ``data``, whose nested elements fit exactly and hold a version or an algorithm."""
-    if not data or not (top := der_length(data)) or top[0] != 0x30 or top[2] != len(data):
+    """A private key: nested elements fit exactly and are those of one of the known forms.
+
+    PKCS#1 and the older DSA form (a version and five or more integers), PKCS#8 (version,
+    algorithm, octets), its encrypted form (algorithm, octets), SEC1 (version 1, octets) and PKCS#12
+    (version 3, algorithm and content). Public keys, certificates and signatures are none.
+    """
+    if not data or not (top := der_length(data)) or top[0] != _SEQUENCE or top[2] != len(data):
         return False
-    at, tags = top[1], []
-    while at < top[2]:
-        element = der_length(data[: top[2]], at)
-        if element is None:
-            return False
-        tags.append(element[0])
-        at = element[2]
-    return len(tags) >= 2 and tags[0] in (0x02, 0x30) and any(t in (0x02, 0x03, 0x04, 0x30) for t in tags[1:])
+    parts = _elements(data, top[1], top[2])
+    if not parts or len(parts) < 2:
+        return False
+    tags = [t for t, _, _ in parts]
+    if tags[0] == _SEQUENCE:
+        return tags == [_SEQUENCE, _OCTETS] and _names_algorithm(data, parts[0])
+    if tags[0] != _INTEGER:
+        return False
+    version = int.from_bytes(data[parts[0][1] : parts[0][2]], "big")
+    if tags[1] == _OCTETS:
+        return version == 1
+    if tags[1] == _SEQUENCE and _names_algorithm(data, parts[1]):
+        return version in (0, 1) and tags[2:3] == [_OCTETS] or version == 3 and set(tags[2:]) <= {_SEQUENCE}
+    return version in (0, 1) and len(tags) >= 6 and set(tags[:6]) == {_INTEGER}
 
 
 def is_ssh_key(data: bytes | None) -> bool:
@@ -125,13 +160,6 @@ def _pem_body(match: re.Match) -> bool:
     return is_der_key(data) or is_openssh_private(data)
 
 
-def _is_pair(data: bytes) -> bool:
-    """Two integers: a signature if short."""
-    first = der_length(data, der_length(data)[1])
-    second = der_length(data, first[2])
-    return first[0] == 0x02 and second is not None and second[0] == 0x02 and second[2] == len(data)
-
-
 def _der_end(text: str, start: int) -> tuple[int, bool] | None:
     """(end, whether it is on one line) of the base64 of a DER key at ``start``: its own length says how far to read."""
     head = _padded(text[start : start + 8])
@@ -160,7 +188,7 @@ def _der_end(text: str, start: int) -> tuple[int, bool] | None:
     if follow and (follow.isascii() and follow.isalnum() or follow in "+/" or follow in "-_" and ("-" in body or "_" in body)):
         return None
     data = _padded(body)
-    if not is_der_key(data) or total < _PAIR and _is_pair(data):
+    if not is_der_key(data):
         return None
     while text[at : at + 1] == "=" and -len(body) % 4:
         at, body = at + 1, body + "="
@@ -201,7 +229,7 @@ def confirmed_spans(text: str) -> list[Span]:
         found += [("pem", m.start(), m.end()) for m in _PEM.finditer(text) if _pem_body(m)]
     found += _der_spans(text, [s for s in found if s[0] == "pem"])
     if "AAAA" in text:
-        found += [("ssh", m.start(), m.end()) for m in _SSH.finditer(text) if is_ssh_key(_padded(m[0]))]
+        found += [("ssh_public", m.start(), m.end()) for m in _SSH.finditer(text) if is_ssh_key(_padded(m[0]))]
     # a key written in hex digits of either case is reported as such too
     for a, b in sorted({m.span() for p in (_HEX, _HEX_KEY) for m in p.finditer(text)}) if "30" in text else ():
         if text.startswith("30", a) and (b - a) % 2 == 0 and b - a >= 64 and is_der_key(bytes.fromhex(text[a:b])):
@@ -248,12 +276,14 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redacted(text: str | None, mark: str = "[SECRET]") -> str | None:
-    """The text with every secret replaced; overlapping spans are replaced as one."""
+    """The text with every secret replaced, public keys left; overlapping spans are replaced as one."""
     if text is None:
         return None
     out, at = [], 0
     end = -1
-    for _, a, b in scan(text)[1]:
+    for kind, a, b in scan(text)[1]:
+        if kind in PUBLIC:
+            continue
         if a >= end:
             out += [text[at:a], mark]
         end = max(end, b)

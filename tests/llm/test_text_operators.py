@@ -278,7 +278,7 @@ def test_structure_decides():
     assert kinds(base64.b64encode(b"\x30\x81\xf0" + b"no key at all " * 20).decode()) == []
     assert kinds("x=" + _der().hex()) == ["der"]
     ssh = len(b"ssh-ed25519").to_bytes(4, "big") + b"ssh-ed25519" + (32).to_bytes(4, "big") + bytes(32)
-    assert kinds("ssh-ed25519 " + base64.b64encode(ssh).decode()) == ["ssh"]
+    assert kinds("ssh-ed25519 " + base64.b64encode(ssh).decode()) == ["ssh_public"]
     assert kinds("ssh-ed25519 " + base64.b64encode(ssh[:-1]).decode()) == []
 
 
