@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from farelane.llm import bpe, contamination, secrets, simhash, toxicity
 from farelane.llm.shared import cut, folder
+from farelane.staging import remove_folder
 
 #: Names of helper columns; long, so that no column of the input has them.
 _ID, _SIZE = "__pipeline_id", "__pipeline_chars"
@@ -78,10 +79,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read again."""
+    """All stages over ``documents``; each result is written to the shared folder and read again.
+
+    A stage's copy is removed once the next one is written; the last one stays, as the result reads it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base, last = f"{folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}", None
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}-{name}")
-        docs = spark.read.parquet(f"{base}/{k}-{name}")
+        path = f"{base}/{k}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if last:
+            remove_folder(spark, last)
+        last = path
     return docs
