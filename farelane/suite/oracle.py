@@ -506,6 +506,7 @@ ORACLE: dict[str, str] = {
     "dense_fit": f"WITH {FIT_SETS} SELECT 'dense' AS model, train_rows, held_rows, {rnd('mean_mae', 3)} AS mean_mae, true AS beats_mean FROM naive",
     "chunked_fit": f"""WITH {FIT_SETS} SELECT CAST(c AS BIGINT) AS chunk_id, CAST(least(train_rows - 2000 * c, 2000) AS BIGINT) AS rows, true AS beats_mean
         FROM (SELECT train_rows, unnest(range((train_rows + 1999) // 2000)) AS c FROM naive)""",
+    "sync_fit": f"WITH {FIT_SETS} SELECT train_rows AS rows, true AS four_passes, true AS falls FROM naive",
     "warm_start": f"WITH {FIT_SETS} SELECT train_rows AS rows, true AS ahead FROM naive",
     "model_store": f"""WITH {FIT_SETS} SELECT CAST(1 AS INTEGER) AS in_production, CAST(2 AS INTEGER) AS newest, CAST(3 AS BIGINT) AS runs, train_rows,
         held_rows, true AS beat_mean, true AS differ, true AS consistent FROM naive""",

@@ -41,6 +41,7 @@ from farelane.operators.features import to_vector
 from farelane.plans.dense import DenseModel, DenseSpec, fit_dense
 from farelane.plans.preprocess import preprocess
 from farelane.plans.score import fit_distance_line, ml_scorer, score, score_requests, with_utc
+from farelane.plans.sync import fit_sync
 from farelane.schema import CELLS_20, FEATURE_COLUMNS, MONTHS, RAW, RAW_TEXT, TARGET_COLUMN, WEEKDAYS
 from farelane.sources import catalog as cat
 from farelane.sources import feed, files, trips
@@ -948,6 +949,18 @@ def warm_start(spark, folder):
     return spark.createDataFrame([(train.count(), ahead)], "rows long, ahead boolean")
 
 
+@query
+def sync_fit(spark, folder):
+    """Steps in common over eighths of the table, left after two passes and taken up again from the ledger."""
+    train, held = _fit_sets(spark, folder)
+    rows, path = train.count(), new_folder(spark, "ledger")
+    spec = DenseSpec(learning_rate=0.02, batch_size=max(1, rows // 8))
+    fit_sync(train, held, spec=spec, epochs=2, patience=4, workers=2, ledger=path)
+    passes = fit_sync(train, held, spec=spec, epochs=4, patience=4, workers=2, ledger=path).history
+    falls = passes[-1]["train_loss"] < passes[0]["train_loss"]
+    return spark.createDataFrame([(rows, [p["epoch"] for p in passes] == [0, 1, 2, 3], falls)], "rows long, four_passes boolean, falls boolean")
+
+
 @query
 def model_store(spark, folder):
     """The model in production is evaluated before its successor is trained, which waits outside production."""
