@@ -418,6 +418,11 @@ ORACLE: dict[str, str] = {
     "trip_end_union": f"WITH {ENDS} SELECT trip_end, cell FROM trip_ends",
     "district_counts": f"WITH {ENDS} SELECT cell, n FROM counts",
     "distinct_districts": f"WITH {ENDS} SELECT count(DISTINCT cell) AS districts FROM trip_ends",
+    "merged_sketches": f"""WITH {ENDS}, totals AS (SELECT count(*) AS n FROM clean)
+        SELECT 'rows' AS measure, n AS exact, true AS close FROM totals UNION ALL SELECT 'districts', count(DISTINCT cell), true FROM trip_ends
+        UNION ALL SELECT 'trips', count(*), true FROM (SELECT DISTINCT {SEVEN} FROM clean)
+        UNION ALL SELECT 'fare ' || p, n, true FROM totals, (VALUES ('0.05'), ('0.5'), ('0.95')) AS v(p)""",
+    "gram_correlation": correlations(),
     "top_districts": f"WITH {ENDS} SELECT cell, n FROM counts ORDER BY n DESC, cell LIMIT 20",
     "district_coverage": f"""WITH {ENDS}, top AS (SELECT cell, n FROM counts ORDER BY n DESC, cell LIMIT 20)
         SELECT CAST(row_number() OVER w AS INTEGER) AS rank, cell, n,

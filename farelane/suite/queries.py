@@ -32,7 +32,7 @@ from farelane.functions import (
     to_local,
     weekday,
 )
-from farelane.operators import chunks, clean, districts, downcast, features, histogram, profile, residuals
+from farelane.operators import chunks, clean, districts, downcast, features, histogram, profile, residuals, summaries
 from farelane.operators.quantiles import exact_quantiles
 from farelane.plans import evaluate as ev
 from farelane.plans import registry
@@ -623,6 +623,39 @@ def distinct_districts(spark, folder):
     return districts.distinct_districts(cleaned(spark, folder))
 
 
+@query
+def merged_sketches(spark, folder):
+    """Sketches of two spans of months, stored one after the other and merged; whether they are as close as promised."""
+    rows, path = stage(cleaned(spark, folder), "clean"), new_folder(spark, "sketches")
+    early = F.col("pickup_datetime") < F.lit("2014-01-01").cast("timestamp_ntz")
+    for part in (early, ~early):
+        summaries.put_months(summaries.monthly_sketches(rows.filter(part)), path)
+    table = spark.read.parquet(path)
+    found = summaries.merged_counts(table).first()
+    cells = districts.distinct_districts(rows).first()[0]
+    different = rows.select(F.xxhash64(*(c for c in rows.columns if c != "key"))).distinct().count()
+    near = lambda estimate, exact: abs(estimate - exact) <= 0.02 * exact
+    lines = [("rows", found["rows"], True), ("districts", cells, near(found["districts"], cells)), ("trips", different, near(found["trips"], different))]
+    quantiles = summaries.merged_quantiles(table, (0.05, 0.5, 0.95)).collect()
+    fare = F.col("fare_amount")
+    below = rows.agg(*(F.array(F.count_if(fare < q["value"]), F.count_if(fare <= q["value"])) for q in quantiles)).first()
+    for q, (under, upto) in zip(quantiles, below):
+        n = found["rows"]
+        lines.append((f"fare {q['prob']}", n, under - 0.02 * n <= q["prob"] * n <= upto + 0.02 * n))
+    return spark.createDataFrame(lines, "measure string, exact long, close boolean")
+
+
+@query
+def gram_correlation(spark, folder):
+    """The correlation matrix from Gram matrices of single months, the newer ones added later."""
+    made = stage(features.trip_features(cleaned(spark, folder), keep=("pickup_datetime",), target=True), "features")
+    columns, path = [c for c in made.columns if c != "pickup_datetime"], new_folder(spark, "grams")
+    early = F.col("pickup_datetime") < F.lit("2014-01-01").cast("timestamp_ntz")
+    for part in (early, ~early):
+        summaries.put_months(summaries.monthly_grams(made.filter(part), columns, summaries.month(made)), path)
+    return summaries.correlations(spark, summaries.total_gram(spark.read.parquet(path)), columns).withColumn("r", r("r", 4))
+
+
 @query
 def top_districts(spark, folder):
     return districts.top_districts(cleaned(spark, folder))
