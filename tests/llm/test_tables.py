@@ -154,6 +154,21 @@ def test_deltas_add_up_in_any_order_and_repetition(spark):
     folded = new_folder(spark, "rollup")
     rollups.compact(spark, path, folded, 2)
     assert rows_of(rollups.totals(spark, folded)) == rows_of(rollups.totals(spark, path))
+    for store in (path, folded):  # numbers stay taken
+        rollups.commit(batches[1], store, 1)
+        with pytest.raises(ValueError):
+            rollups.commit(batches[2], store, 1)
+        assert rows_of(rollups.totals(spark, store).filter("docs <> 0")) == want
+    assert rollups.totals(spark, new_folder(spark, "rollup")).count() == 0
+
+
+def test_counts_of_empty_tables_and_long_texts(spark):
+    docs = spark.createDataFrame([(None, "en", None), ("s", "de", "a1 23 é-b " * 100_000)], "source string, lang string, text string").withColumn("n1", F.lit(1))
+    counts = rollups.word_counts(docs.drop("n1"), {"a": suite._words_1, "b": suite._words_2})
+    assert rows_of(counts) == sorted([(None, "en", 0, 0), ("s", "de", 300_000, 400_000)], key=repr)
+    path = new_folder(spark, "rollup")
+    rollups.commit(rollups.changes("insert", rollups.counted(counts.limit(0), {"a": F.col("a")})), path, 1)
+    assert rollups.totals(spark, path).count() == 0
 
 
 def test_german_texts_without_a_source_are_revised(spark, tmp_path):
