@@ -507,6 +507,8 @@ ORACLE: dict[str, str] = {
         0e0 AS with_23, 0e0 AS with_24 FROM clean""",
     "linear_scored_trips": f"""WITH {TIMED} SELECT CAST(month(lt) AS INTEGER) AS month, count(*) AS trips,
         {rnd(f"avg({as_float('fare_amount')})", 2)} AS mean_prediction FROM timed GROUP BY 1""",
+    "pipeline_scored": f"""WITH {TIMED} SELECT CAST(month(lt) AS INTEGER) AS month, count(*) AS trips,
+        {rnd(f"avg({as_float('fare_amount')})", 2)} AS mean_prediction FROM timed GROUP BY 1""",
     "tree_fit": f"WITH {FIT_SETS} SELECT 'gbt' AS model, train_rows, held_rows, {rnd('mean_mae', 3)} AS mean_mae, true AS beats_mean FROM naive",
     "dense_fit": f"WITH {FIT_SETS} SELECT 'dense' AS model, train_rows, held_rows, {rnd('mean_mae', 3)} AS mean_mae, true AS beats_mean FROM naive",
     "chunked_fit": f"""WITH {FIT_SETS} SELECT CAST(c AS BIGINT) AS chunk_id, CAST(least(train_rows - 2000 * c, 2000) AS BIGINT) AS rows, true AS beats_mean

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ from farelane.functions import (
 from farelane.operators import chunks, clean, districts, downcast, features, histogram, profile, residuals, summaries
 from farelane.operators.quantiles import exact_quantiles
 from farelane.plans import evaluate as ev
-from farelane.plans import registry
+from farelane.plans import registry, stages
 from farelane.plans import train as tr
 from farelane.operators.features import to_vector
 from farelane.plans.dense import DenseModel, DenseSpec, fit_dense
@@ -916,6 +917,17 @@ def linear_scored_trips(spark, folder):
     )
 
 
+@query
+def pipeline_scored(spark, folder):
+    """Raw trips scored by a stored pipeline of cleaning, features and linear model; the means of each month agree."""
+    path, source = new_folder(spark, "pipeline"), raw(spark, folder)
+    stages.fit_pipeline(source).save(path)
+    scored = PipelineModel.load(path).transform(source)
+    return scored.groupBy(F.month(clock_date(local_clock(F.col("pickup_datetime")))).alias("month")).agg(
+        F.count("*").alias("trips"), r(F.avg("prediction"), 2).alias("mean_prediction")
+    )
+
+
 @query
 def tree_fit(spark, folder):
     train, held = _fit_sets(spark, folder)
