@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -13,6 +14,9 @@ from xxhash import xxh64_intdigest
 from farelane.llm.contamination import words_of
 from farelane.llm.shared import batches, pack, utf8
 
+#: Entries that are looked up or weighed at once; bounds what a learner holds beside its rows.
+_STRIP = 1 << 20
+
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -101,13 +105,21 @@ class ToxicModel:
 def ftrl(rows: list[np.ndarray], labels: np.ndarray, spec: Spec, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal over one shard: ``(keys, weights, bias)`` of the non-zero weights."""
     counts = np.fromiter(map(len, rows), np.int64, len(rows))
-    keys, at = np.unique(np.concatenate(rows) if len(rows) else np.zeros(0, np.uint32), return_inverse=True)
+    flat = np.concatenate(rows) if len(rows) else np.zeros(0, np.uint32)
+    keys = np.unique(flat)
+    at = np.empty(len(flat), np.int32)
+    for low in range(0, len(flat), _STRIP):
+        at[low : low + _STRIP] = np.searchsorted(keys, flat[low : low + _STRIP])
+    del flat
     z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
     bias = len(keys)
     first = np.cumsum(counts) - counts
-    l1 = np.full(len(keys) + 1, spec.l1 * min(1.0, len(rows) * spec.shards / spec.sample) ** 0.5)  # evidence grows with the rows
-    l1[bias] = 0.0
-    weight = lambda i: np.where(np.abs(z[i]) <= l1[i], 0.0, (np.sign(z[i]) * l1[i] - z[i]) / ((spec.beta + np.sqrt(n[i])) / spec.alpha + spec.l2))
+    l1 = spec.l1 * min(1.0, len(rows) * spec.shards / spec.sample) ** 0.5  # evidence grows with the rows
+
+    def weight(i: np.ndarray) -> np.ndarray:
+        limit, zi = np.where(i == bias, 0.0, l1), z[i]
+        return np.where(np.abs(zi) <= limit, 0.0, (np.sign(zi) * limit - zi) / ((spec.beta + np.sqrt(n[i])) / spec.alpha + spec.l2))
+
     order = np.random.default_rng(seed)
     for _ in range(spec.epochs):
         for r in order.permutation(len(rows)):
@@ -118,9 +130,14 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, spec: Spec, seed: int) -> t
             step = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / spec.alpha
             z[i] += g - step * w
             n[i] += g * g
-    w = weight(np.arange(len(keys) + 1))
-    use = np.flatnonzero(w[:bias])
-    return keys[use].astype(np.uint64), w[use], float(w[bias])
+    used, weights = [], []
+    for low in range(0, len(keys), _STRIP):
+        w = weight(np.arange(low, min(low + _STRIP, len(keys))))
+        use = np.flatnonzero(w)
+        used.append(keys[low + use].astype(np.uint64))
+        weights.append(w[use])
+    none = [np.zeros(0, np.uint64)], [np.zeros(0)]
+    return np.concatenate(used or none[0]), np.concatenate(weights or none[1]), float(weight(np.array([bias]))[0])
 
 
 def fit(
@@ -156,8 +173,10 @@ def fit(
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("d", F.lit(1)), F.lit(spec.shards)))
 
     def learn_shard(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([("d", "ascending"), ("f", "ascending")])
-        k, w, b = ftrl([np.frombuffer(f, np.uint32) for f in table["f"].to_pylist()], table["y"].to_numpy().astype(float), spec, key[0].as_py())
+        order = pc.sort_indices(table, [("d", "ascending"), ("f", "ascending")]).to_numpy()
+        features_ = table["f"]
+        rows = [np.frombuffer(features_[int(r)].as_buffer(), np.uint32) for r in order]  # views, no copies
+        k, w, b = ftrl(rows, table["y"].to_numpy()[order].astype(float), spec, key[0].as_py())
         return pa.table({"k": np.append(k, np.uint64(0)).view(np.int64), "w": np.append(w, b), "bias": np.append(np.zeros(len(k), bool), True)})
 
     learnt = rows.groupBy("shard").applyInArrow(learn_shard, "k long, w double, bias boolean")
