@@ -14,9 +14,6 @@ from xxhash import xxh64_intdigest
 from farelane.llm.contamination import words_of
 from farelane.llm.shared import batches, pack, utf8
 
-#: Entries that are looked up or weighed at once; bounds what a learner holds beside its rows.
-_STRIP = 1 << 20
-
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -103,18 +100,25 @@ class ToxicModel:
 
 
 def ftrl(rows: list[np.ndarray], labels: np.ndarray, spec: Spec, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """FTRL-proximal over one shard: ``(keys, weights, bias)`` of the non-zero weights."""
-    counts = np.fromiter(map(len, rows), np.int64, len(rows))
-    flat = np.concatenate(rows) if len(rows) else np.zeros(0, np.uint32)
-    keys = np.unique(flat)
-    at = np.empty(len(flat), np.int32)
-    for low in range(0, len(flat), _STRIP):
-        at[low : low + _STRIP] = np.searchsorted(keys, flat[low : low + _STRIP])
-    del flat
-    z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
-    bias = len(keys)
-    first = np.cumsum(counts) - counts
+    """FTRL-proximal over one shard: ``(keys, weights, bias)`` of the non-zero weights.
+
+    A gradient is below one, so a feature of no more than ``l1 / epochs`` rows keeps a
+    zero weight all the way and never adds to a sum: such features are left out from the start, which
+    changes no result.
+    """
     l1 = spec.l1 * min(1.0, len(rows) * spec.shards / spec.sample) ** 0.5  # evidence grows with the rows
+    every = np.concatenate(rows) if len(rows) else np.zeros(0, np.uint32)
+    every.sort()
+    often = int(l1 // spec.epochs)
+    keys = np.unique(every[: len(every) - often][every[: len(every) - often] == every[often:]]) if len(every) > often else every[:0]
+    del every
+    bias = len(keys)
+    at = []
+    for row in rows:
+        place = np.searchsorted(keys, row)
+        known = keys[np.minimum(place, max(bias - 1, 0))] == row if bias else np.zeros(len(row), bool)
+        at.append(np.append(place[known], bias).astype(np.int32))
+    z, n = np.zeros(bias + 1), np.zeros(bias + 1)
 
     def weight(i: np.ndarray) -> np.ndarray:
         limit, zi = np.where(i == bias, 0.0, l1), z[i]
@@ -123,21 +127,16 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, spec: Spec, seed: int) -> t
     order = np.random.default_rng(seed)
     for _ in range(spec.epochs):
         for r in order.permutation(len(rows)):
-            i = np.append(at[first[r] : first[r] + counts[r]], bias)
+            i = at[r]
             w = weight(i)
             p = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35)))
             g = p - labels[r]
             step = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / spec.alpha
             z[i] += g - step * w
             n[i] += g * g
-    used, weights = [], []
-    for low in range(0, len(keys), _STRIP):
-        w = weight(np.arange(low, min(low + _STRIP, len(keys))))
-        use = np.flatnonzero(w)
-        used.append(keys[low + use].astype(np.uint64))
-        weights.append(w[use])
-    none = [np.zeros(0, np.uint64)], [np.zeros(0)]
-    return np.concatenate(used or none[0]), np.concatenate(weights or none[1]), float(weight(np.array([bias]))[0])
+    w = weight(np.arange(bias + 1))
+    use = np.flatnonzero(w[:bias])
+    return keys[use].astype(np.uint64), w[use], float(w[bias])
 
 
 def fit(
