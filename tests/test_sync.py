@@ -129,3 +129,31 @@ def test_chunks_go_on(sets, tmp_path, monkeypatch):
     assert len(done) == 1  # only the last chunk was fitted again
     assert [r.chunk_id for r in lines.orderBy("chunk_id").collect()] == [0, 1, 2]
     assert lines.agg(F.sum("rows")).first()[0] == rows.count()
+
+
+def test_rounds_ahead_are_the_same_rounds(sets):
+    rows, held = sets
+    alone = stage(rows.coalesce(1), "alone")
+    one, more = (fit_dense(alone, held, spec=SMALL, epochs=7, patience=2, staging=False, ahead=n) for n in (1, 4))
+    assert [h["epoch"] for h in more.history] == [h["epoch"] for h in one.history]
+    for key in ("train_loss", "val_loss", "val_mae"):
+        assert [h[key] for h in more.history] == pytest.approx([h[key] for h in one.history], rel=1e-5)
+    assert np.allclose(more.weights, one.weights, rtol=1e-5, atol=1e-6)
+    spread = fit_dense(rows.repartition(3), held, spec=SMALL, epochs=2, ahead=4)  # several splits are averaged round by round
+    assert len(spread.history) == 2
+    broken = stage(alone.withColumn("_3", F.when(F.col("_23") > 0.1, F.lit(None)).otherwise(F.col("_3"))), "broken")
+    with pytest.raises(ValueError, match=f"^{broken.filter('_3 IS NULL').count()} rows with a missing value"):
+        fit_dense(broken, held, warm=one, spec=SMALL, epochs=1, staging=False, ahead=4)
+
+
+def test_a_chunk_takes_few_jobs(spark, sets):
+    rows, held = sets
+    chunked = rows.withColumn("chunk_id", F.pmod(F.hash("_23"), F.lit(4)).cast("long"))
+    warm = fit_dense(rows, held, spec=SMALL, epochs=1)
+    jobs = []
+    for chunks in (1, 4):  # what comes before the first chunk is left out
+        spark.sparkContext.setJobGroup(f"chunks-{chunks}", "")
+        train.fit_chunks(chunked.filter(F.col("chunk_id") < chunks), held, warm=warm, epochs=4, patience=9)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"chunks-{chunks}")))
+    spark.sparkContext._jsc.clearJobGroup()
+    assert (jobs[1] - jobs[0]) / 3 <= 3  # one trains four rounds, one validates them; 18.7 before
