@@ -4,14 +4,18 @@ Each pass deals the rows anew to ``workers`` tasks. A step's mini-batch is made
 part from each task; tasks exchange gradients by an all-gather, add them in the order of
 the tasks and take the same Adam step, so there is one set of weights as if one task had
 seen the whole mini-batch part by part. Batch norm uses the moments of a part; running
-moments are those of the whole mini-batch.
+moments are those of the whole mini-batch. A part of more than ``BLOCK`` rows is held
+on the task's own disk and taken through the network layer by layer, block by block.
 """
 
 from __future__ import annotations
 
 import base64
+import copy
+import os
+import tempfile
 from collections.abc import Callable, Iterator
-from contextlib import ExitStack
+from contextlib import ExitStack, closing
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelane.plans import ledger as turns
-from farelane.plans.dense import DenseModel, DenseSpec, EarlyStop, _join, _mini_batches, _split, _step, initial_weights, losses
+from farelane.plans.dense import _EPS, DenseModel, DenseSpec, EarlyStop, _join, _matrix, _mini_batches, _split, _step, initial_weights, losses
 from farelane.schema import FEATURE_COLUMNS, TARGET_COLUMN
 from farelane.staging import staged
 
 #: Places of gamma, beta, weights and bias in a layer; the running moments lie between.
 _TRAINED, _MOMENTS = (0, 1, 4, 5), (2, 3)
 
+#: Rows that a task takes through the network at once.
+BLOCK = 8_192
+
 
 class Adam:
     """Adam with bias correction over one flat vector of parameters; its moments outlive a pass."""
@@ -55,19 +62,125 @@ def part_message(spec: DenseSpec, flat: np.ndarray, x: np.ndarray, y: np.ndarray
     Zeros for a part without rows.
     """
     trained, moments = _places(spec)
-    out = np.zeros(2 + len(moments) + len(trained))
     if not len(y):
-        return out
+        return np.zeros(2 + len(moments) + len(trained))
     layers = _split(spec, flat.astype(np.float32))
     for layer in layers:
         for k in _MOMENTS:
             layer[k][:] = 0.0
     squared, grads = _step(spec, layers, x, y, np.random.default_rng(seed), 0.0)  # keep nothing: the moments are the part's
+    return _message(spec, layers, len(y), squared, grads)
+
+
+def _message(spec: DenseSpec, layers, rows: int, squared: float, grads) -> np.ndarray:
+    trained, moments = _places(spec)
     full = _join([[gs[0], gs[1], *layer[2:4], gs[2], gs[3]] for layer, gs in zip(layers, grads)]).astype(np.float64)
-    out[0], out[1] = len(y), squared
-    out[2 : 2 + len(moments)] = full[moments] * len(y)
-    out[2 + len(moments) :] = full[trained] * len(y)
-    return out
+    return np.concatenate([[rows, squared], full[moments] * rows, full[trained] * rows])
+
+
+class Spool:
+    """Rows of single-precision numbers in blocks on the task's own disk, and their moments; gone once it is closed."""
+
+    def __init__(self, width: int):
+        self.file = tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None)
+        self.width, self.sizes, self.rows = width, [], 0
+        self.mean, self._squares = np.zeros(width), np.zeros(width)
+
+    def add(self, table: np.ndarray) -> None:
+        for at in range(0, len(table), BLOCK):
+            block = np.ascontiguousarray(table[at : at + BLOCK], np.float32)
+            self.file.write(block.data)
+            n, mean = len(block), block.mean(0, dtype=np.float64)
+            off, total = mean - self.mean, self.rows + n
+            self._squares += ((block - mean) ** 2).sum(0) + off * off * (self.rows * n / total)
+            self.mean += off * (n / total)
+            self.rows = total
+            self.sizes.append(n)
+
+    @property
+    def var(self) -> np.ndarray:
+        return self._squares / self.rows
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        """The blocks in the order in which they came; one reader at a time."""
+        self.file.seek(0)
+        for n in self.sizes:
+            yield np.frombuffer(self.file.read(4 * n * self.width), np.float32).reshape(n, self.width)
+
+    def close(self) -> None:
+        self.file.close()
+
+
+def spooled_message(spec: DenseSpec, flat: np.ndarray, part: Spool, seed: int) -> np.ndarray:
+    """:func:`part_message` of a part on disk; its last column is the target.
+
+    A layer needs the moments of all rows before it can pass one on, and on the way back the sums
+    of all rows' gradients. So the rows go forward once per layer, which leaves its inputs on disk,
+    and once per layer back. Dropout draws the numbers that it draws for the part in one piece.
+    """
+    layers, rng, last = _split(spec, flat.astype(np.float32)), np.random.default_rng(seed), len(spec.hidden)
+    scales, draws, rows, squared = [], [], part.rows, 0.0
+
+    def through(i: int, x: np.ndarray, rng: np.random.Generator):
+        """(normed, mask, output of the norm) of a block at layer ``i``."""
+        gamma, beta, mean = layers[i][:3]
+        unit = (x - mean) * scales[i]
+        z = unit * gamma + beta
+        mask = (rng.random(z.shape, dtype=np.float32) >= spec.dropout).astype(z.dtype) / (1 - spec.dropout) if i and spec.dropout else 1.0
+        return unit, mask, z * mask
+
+    with ExitStack() as stack:
+        inputs = [part, *(stack.enter_context(closing(Spool(n))) for n in spec.hidden)]
+        for i in range(last + 1):
+            width = len(layers[i][0])
+            layers[i][2][:], layers[i][3][:] = inputs[i].mean[:width], inputs[i].var[:width]
+            scales.append(1.0 / np.sqrt(layers[i][3] + _EPS))
+            draws.append(copy.deepcopy(rng))
+            if i < last:
+                for x in inputs[i]:
+                    inputs[i + 1].add(np.maximum(through(i, x[:, :width], rng)[2] @ layers[i][4] + layers[i][5], 0.0))
+        grads: list = [None] * (last + 1)
+        for i in range(last, -1, -1):
+            sums = [np.zeros(p.shape) for p in (layers[i][0], layers[i][1], layers[i][4], layers[i][5])]
+            own = [copy.deepcopy(d) for d in draws]
+            for first, *tables in zip(part, *inputs[max(i, 1) :]):
+                blocks = dict(zip(range(max(i, 1), last + 1), tables)) | ({} if i else {0: first[:, :-1]})
+                passed = {k: through(k, blocks[k], own[k]) for k in range(i, last + 1)}
+                error = (passed[last][2] @ layers[last][4] + layers[last][5])[:, 0] - first[:, -1]
+                grad = (2.0 / rows) * error[:, None]
+                for k in range(last, i, -1):  # the layers behind this one, whose sums are known
+                    unit, mask, _ = passed[k]
+                    gu = (grad @ layers[k][4].T) * mask * layers[k][0]
+                    ggamma, gbeta = grads[k][0] * layers[k][0] / rows, grads[k][1] * layers[k][0] / rows
+                    grad = scales[k] * (gu - gbeta - unit * ggamma) * (blocks[k] > 0)
+                unit, mask, z = passed[i]
+                gz = (grad @ layers[i][4].T) * mask
+                for total, more in zip(sums, ((gz * unit).sum(0), gz.sum(0), z.T @ grad, grad.sum(0))):
+                    total += more
+                squared += float(error @ error) if i == last else 0.0
+            if i < spec.penalised:
+                sums[2] += 2 * spec.l2 * layers[i][4] + spec.l1 * np.sign(layers[i][4])
+            grads[i] = [g.astype(np.float32) for g in sums]
+    return _message(spec, layers, rows, squared, grads)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Spool]:
+    """Cut Arrow batches into parts of ``size`` rows on disk; a part is closed when the next one is asked for."""
+    part = None
+    for batch in batches:
+        table = _matrix(batch)
+        while len(table):
+            part = part or Spool(table.shape[1])
+            take = size - part.rows
+            part.add(table[:take])
+            table = table[take:]
+            if part.rows == size:
+                with closing(part):
+                    yield part
+                part = None
+    if part:
+        with closing(part):
+            yield part
 
 
 def combined(spec: DenseSpec, flat: np.ndarray, parts: list[np.ndarray], adam: Adam, keep: float) -> tuple[np.ndarray, float, float]:
@@ -89,15 +202,15 @@ def _keep(t: int) -> float:
 
 
 def one_pass(
-    spec: DenseSpec, flat: np.ndarray, adam: Adam, batches: Iterator[tuple[np.ndarray, np.ndarray]], part: int, seed: int,
+    spec: DenseSpec, flat: np.ndarray, adam: Adam, batches: Iterator[tuple[np.ndarray, np.ndarray] | Spool], part: int, seed: int,
     gather: Callable[[np.ndarray], list[np.ndarray]],
 ) -> tuple[np.ndarray, float, float]:
     """One task's side of a pass: it steps with the others until no task has rows left."""
     rows = squared = 0.0
     none = np.zeros((0, spec.inputs), np.float32), np.zeros(0, np.float32)
     while True:
-        x, y = next(batches, none)
-        parts = gather(part_message(spec, flat, x, y, hash((seed, adam.t, part)) & 0xFFFFFFFF))
+        own, draw = next(batches, none), hash((seed, adam.t, part)) & 0xFFFFFFFF
+        parts = gather(spooled_message(spec, flat, own, draw) if isinstance(own, Spool) else part_message(spec, flat, *own, draw))
         if not any(p[0] for p in parts):
             return flat, rows, squared
         flat, n, loss = combined(spec, flat, parts, adam, _keep(adam.t))
@@ -113,6 +226,7 @@ def _run_pass(table: DataFrame, columns: list[str], spec: DenseSpec, flat: np.nd
     sc = table.sparkSession.sparkContext
     shared = sc.broadcast((flat, adam))
     size = max(1, spec.batch_size // workers)
+    cut = _mini_batches if size <= BLOCK else _parts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
@@ -124,7 +238,7 @@ def _run_pass(table: DataFrame, columns: list[str], spec: DenseSpec, flat: np.nd
             told = context.allGather(base64.b64encode(message.tobytes()).decode())
             return [np.frombuffer(base64.b64decode(m)) for m in told]
 
-        out, rows, squared = one_pass(spec, start, rule, _mini_batches(batches, size), own, seed, gather)
+        out, rows, squared = one_pass(spec, start, rule, cut(batches, size), own, seed, gather)
         if own == 0:
             yield pa.RecordBatch.from_pydict({"rows": [rows], "squared": [squared], "t": [rule.t], "w": [out], "m": [rule.m], "v": [rule.v]})
 

@@ -1,6 +1,9 @@
 """Synchronous steps against one process, and fits that go on where a killed one stopped."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +160,60 @@ def test_a_chunk_takes_few_jobs(spark, sets):
         jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"chunks-{chunks}")))
     spark.sparkContext._jsc.clearJobGroup()
     assert (jobs[1] - jobs[0]) / 3 <= 3  # one trains four rounds, one validates them; 18.7 before
+
+
+def _rows(n, width, seed=1):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, width)).astype(np.float32)
+    return np.column_stack([x, 2 * x[:, 0] + rng.normal(size=n).astype(np.float32)])
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.2])
+def test_a_part_on_disk_gives_the_sums_of_the_part(monkeypatch, dropout):
+    monkeypatch.setattr(sync, "BLOCK", 300)
+    spec = DenseSpec(inputs=6, hidden=(9, 5), dropout=dropout, l1=0.01)
+    rows = _rows(1000, 6)
+    flat = dense._initial(spec, np.zeros(6), np.ones(6), 0.5, 3)
+    cut = list(pa.RecordBatch.from_arrays([pa.array(c) for c in t.T], names=list("abcdefg")) for t in (rows[:700], rows[700:]))
+    got = [(p.rows, sync.spooled_message(spec, flat, p, 9)) for p in sync._parts(iter(cut), 800)]
+    assert [n for n, _ in got] == [800, 200]
+    for (n, told), table in zip(got, (rows[:800], rows[800:])):
+        layers = dense._split(spec, flat.astype(np.float32).astype(np.float64))
+        for layer in layers:
+            layer[2][:] = layer[3][:] = 0.0
+        exact = table.astype(np.float64)
+        want = sync._message(spec, layers, n, *dense._step(spec, layers, exact[:, :-1], exact[:, -1], np.random.default_rng(9), 0.0))
+        assert told[0] == n and np.allclose(told / n, want / n, rtol=1e-4, atol=1e-5)
+
+
+def test_memory_of_a_step_does_not_grow_with_the_part():
+    spec, peaks = DenseSpec(inputs=20, hidden=(40, 20)), []
+    flat = dense._initial(spec, np.zeros(20), np.ones(20), 0.5, 3)
+    names = [str(k) for k in range(21)]
+    for n in (30_000, 120_000):
+        batches = (pa.RecordBatch.from_arrays([pa.array(c) for c in _rows(10_000, 20, k).T], names=names) for k in range(n // 10_000))
+        cut = (sync._mini_batches if n <= sync.BLOCK else sync._parts)(batches, n)
+        tracemalloc.start()
+        _, rows, _ = sync.one_pass(spec, flat, sync.Adam(len(sync._places(spec)[0]), 0.01), cut, 0, 5, lambda told: [told])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert rows == n
+    assert peaks[1] < 1.2 * peaks[0]
+
+
+def test_tasks_step_alike_on_parts_on_disk(spark, sets):
+    spec = DenseSpec(hidden=(8, 4), learning_rate=0.01, batch_size=4 * sync.BLOCK)
+    table, columns = stage(sets[0], "table"), _columns()
+    flat = dense.initial_weights(table, columns, spec, 1)
+    got, rule, loss = sync._run_pass(table, columns, spec, flat, sync.Adam(len(sync._places(spec)[0]), 0.01), 2, 5)
+    parts = {0: [], 1: []}
+    for r in sync.dealt(table, columns, 2, 5).withColumn("p", F.spark_partition_id()).collect():
+        parts[r.p].append([r[c] for c in columns])
+    tables = [np.array(parts[p], np.float32) for p in (0, 1)]
+    told = [sync.part_message(spec, flat, t[:, :-1], t[:, -1], hash((5, 0, p)) & 0xFFFFFFFF) for p, t in enumerate(tables)]
+    _, n, squared = sync.combined(spec, flat, told, sync.Adam(len(rule.m), 0.01), sync._keep(0))
+    assert rule.t == 1 and loss == pytest.approx(squared / n, rel=1e-5)
+    moments = sync._places(spec)[1]
+    sums = sum(told)
+    assert np.allclose(got[moments], flat[moments] + (sums[2 : 2 + len(moments)] / n - flat[moments]) * (1 - sync._keep(0)), rtol=1e-4, atol=1e-4)
+    assert np.allclose(rule.m, 0.1 * sums[2 + len(moments) :] / n, rtol=1e-3, atol=1e-4)
